@@ -13,8 +13,8 @@ Two rounding semantics appear in the rules and reports:
   form needs the rounding error of ``x * 10**d``, obtained with Dekker's
   error-free product in plain double arithmetic (no UDF; stays in codegen).
 
-Money totals are summed as ``decimal(18,2)`` so they are exact and do not
-depend on partitioning or task order.
+Money totals are exact decimal sums, so they do not depend on partitioning
+or task order.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 _SPLIT = 134217729.0  # 2**27 + 1, Dekker/Veltkamp split constant
 
 
@@ -65,14 +64,26 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
-def money(c: Column | str) -> Column:
-    """A 2-dp double as an exact ``decimal(18,2)`` (for exact sums)."""
-    return array_round(c, 2).cast(MONEY)
+# Exact totals: each double enters the sum as decimal(38,18) (its shortest
+# decimal form, exact for money values), the total is rounded half-even to
+# cents.  The result does not depend on partitioning or summation order.
+SUM_TYPE = "decimal(38,18)"
+MONEY = "decimal(38,2)"
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact, order-independent total of a money column, as ``decimal(18,2)``."""
-    return F.sum(money(c)).cast(MONEY)
+def money_total(c: Column | str) -> Column:
+    """Exact total of a money column rounded to cents, as ``decimal(38,2)``."""
+    return F.bround(F.sum(_col(c).cast(SUM_TYPE)), 2).cast(MONEY)
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Exact (unrounded) total as ``decimal(38,18)``."""
+    return F.sum(_col(c).cast(SUM_TYPE))
+
+
+def cents(c: Column | str) -> Column:
+    """A decimal amount rounded half-even to cents, as ``decimal(38,2)``."""
+    return F.bround(_col(c), 2).cast(MONEY)
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:

@@ -77,6 +77,8 @@ def coerce_transactions(df: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     replacements = {c: _strict_date(c, types[c]) for c in DATE_COLUMNS}
     replacements.update({c: _lenient_number(c, types[c]) for c in NUMBER_COLUMNS})
+    if "is_anomaly" in types and not isinstance(types["is_anomaly"], T.BooleanType):
+        replacements["is_anomaly"] = F.col("is_anomaly").cast("string").try_cast("boolean")
     return df.withColumns(replacements)
 
 
