@@ -95,15 +95,29 @@ def _hit(rule: str, detail: Column, leakage: Column, breach=None, daily=None, me
 
 
 def _explode_hits(frame: DataFrame, tx_columns: list[str], hits: list[Column]) -> DataFrame:
-    arr = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    return frame.select(*tx_columns, F.explode(arr).alias("_hit")).select(
-        *tx_columns, *[F.col(f"_hit.{c}").alias(c) for c in FLAG_TYPES]
+    # explode + filter (both code-generated) rather than a higher-order
+    # array filter, which would fall back to interpreted evaluation
+    return (
+        frame.select(*tx_columns, F.explode(F.array(*hits)).alias("_hit"))
+        .filter(F.col("_hit").isNotNull())
+        .select(*tx_columns, *[F.col(f"_hit.{c}").alias(c) for c in FLAG_TYPES])
     )
 
 
-def _small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    df = persisted(df)
-    return df, df.limit(max_rows + 1).count() <= max_rows
+def _prepass(tx: DataFrame, p: DetectionParams, max_rows: int) -> tuple[DataFrame, bool, DataFrame, bool]:
+    """Spike days and duplicate day-groups, computed in one job.
+
+    Both small tables are stacked into one persisted frame, so the source is
+    scanned once (its exchanges are reused by both branches) and one tiny
+    aggregation returns both row counts for the broadcast size check.
+    """
+    spikes = R.spike_days(tx, p).withColumn("_part", F.lit("spike"))
+    groups = R.duplicate_groups(R.day_groups(tx), p.window_days).withColumn("_part", F.lit("dup"))
+    both = persisted(spikes.unionByName(groups, allowMissingColumns=True))
+    sizes = {r["_part"]: r["n"] for r in both.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spikes = both.filter(F.col("_part") == "spike").select("date", "daily_count", "rolling_mean", "rolling_std")
+    groups = both.filter(F.col("_part") == "dup").select(*R.KEY, "_first_id", "_first_hit")
+    return spikes, sizes.get("spike", 0) <= max_rows, groups, sizes.get("dup", 0) <= max_rows
 
 
 def all_flags(
@@ -113,8 +127,7 @@ def all_flags(
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     cols = tx.columns
-    spikes, spikes_small = _small(R.spike_days(tx, p), broadcast_max_rows)
-    groups, groups_small = _small(R.duplicate_groups(R.day_groups(tx), p.window_days), broadcast_max_rows)
+    spikes, spikes_small, groups, groups_small = _prepass(tx, p, broadcast_max_rows)
     spikes = F.broadcast(spikes) if spikes_small else spikes
 
     breach = R.breach_days(p.grace_days)

@@ -18,6 +18,22 @@ from ..session import checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan over the cluster's cores when it has fewer splits.
+
+    A source stored as a few unsplittable files (e.g. one parquet row group)
+    yields fewer scan tasks than cores, and every row-local rule then runs in
+    those few tasks.  Large inputs have far more splits than cores and are
+    returned unchanged (no shuffle); the check only plans the scan.  With
+    ``keys`` (a near-unique key) rows are hash-spread, which needs no sort;
+    without, round-robin.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def persisted(df: DataFrame) -> DataFrame:
     """Keep a small, reused intermediate in memory (spilling to disk).
 

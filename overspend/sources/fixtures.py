@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.physical import spread
+
 # Expected delivery days by part type, and the copy rate.
 EXPECTED_DAYS = {"ECONOMY": 3, "STANDARD": 5, "PROMO": 2, "LARGE": 7, "MEDIUM": 4, "SMALL": 3}
 COPY_EVERY = 40
@@ -48,22 +50,26 @@ def padded_supplier_id(key) -> F.Column:
 
 
 def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+    li = spread(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+        ),
+        "l_orderkey", "l_linenumber",
     )
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    supplier_region = (
-        supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey, "left")
+    # dimension joins first (each side keeps an honest size estimate), then
+    # the fixed-size nation/region lookups on the joined rows
+    joined = (
+        li.join(supplier, li.l_suppkey == supplier.s_suppkey)
+        .join(part, li.l_partkey == part.p_partkey)
+        .join(F.broadcast(nation), F.col("s_nationkey") == nation.n_nationkey, "left")
         .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
-        .select("s_suppkey", "s_name", F.col("r_name").alias("region"))
-    )
-    joined = li.join(supplier_region, li.l_suppkey == supplier_region.s_suppkey).join(
-        part, li.l_partkey == part.p_partkey
+        .withColumnRenamed("r_name", "region")
     )
 
     ship = F.to_date("l_shipdate")

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..constants import DATE_COLUMNS, NUMBER_COLUMNS, REQUIRED_COLUMNS
 from ..functions.numeric import nan_to_null
+from ..plans.physical import spread
 
 TRANSACTION_SCHEMA = T.StructType(
     [
@@ -92,7 +93,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) ->
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     else:
         raw = spark.read.format(fmt).load(path)
-    return coerce_transactions(raw)
+    return coerce_transactions(spread(raw))
 
 
 def load_profile(tx: DataFrame) -> DataFrame:
