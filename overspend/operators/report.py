@@ -45,31 +45,33 @@ def rule_label(rule: Column, labels: dict = RULE_LABELS) -> Column:
 def executive_summary(tx: DataFrame, scored: DataFrame, p: ScoringParams = DEFAULT_SCORING) -> DataFrame:
     """Headline figures (one row): leakage, distinct flagged transactions,
     flags, the four severity counts, transactions analysed, date range,
-    currency.  Transactions and flags are stacked into one aggregation."""
-    stacked = tx.select(
-        F.lit(True).alias("_is_tx"),
-        F.col("date").alias("_date"),
-        F.lit(None).cast("double").alias("_leak"),
-        F.lit(None).cast("string").alias("_id"),
-        F.lit(None).cast("string").alias("severity"),
-    ).unionByName(
-        scored.select(
-            F.lit(False).alias("_is_tx"),
-            F.lit(None).cast("date").alias("_date"),
-            F.col("leakage_amount_gbp").alias("_leak"),
-            F.col("transaction_id").alias("_id"),
-            _sev(),
-        )
+    currency.
+
+    Two one-row aggregates (transactions; flags, with the distinct id count
+    over the narrow flag projection) are stacked and folded with one more
+    aggregation: no raw transaction row is expanded and nothing is joined.
+    """
+    tx_part = tx.agg(
+        F.count(F.lit(1)).alias("total_transactions_analysed"),
+        F.min("date").alias("_min_date"),
+        F.max("date").alias("_max_date"),
     )
-    is_flag = ~F.col("_is_tx")
-    return stacked.agg(
-        money_total("_leak").alias("headline_gbp"),
-        F.countDistinct("_id").alias("headline_transactions"),
-        F.count(F.when(is_flag, F.lit(1))).alias("total_flags"),
+    flag_part = scored.select("transaction_id", "leakage_amount_gbp", "severity").agg(
+        money_total("leakage_amount_gbp").alias("headline_gbp"),
+        F.countDistinct("transaction_id").alias("headline_transactions"),
+        F.count(F.lit(1)).alias("total_flags"),
         *[_sev_count(s).alias(f"{s.lower()}_count") for s in SEVERITY_LABELS_DESC],
-        F.count(F.when(F.col("_is_tx"), F.lit(1))).alias("total_transactions_analysed"),
-        F.date_format(F.min("_date"), "yyyy-MM-dd").alias("date_range_start"),
-        F.date_format(F.max("_date"), "yyyy-MM-dd").alias("date_range_end"),
+    )
+    stacked = tx_part.unionByName(flag_part, allowMissingColumns=True)
+    folded = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    return folded.select(
+        "headline_gbp",
+        F.coalesce("headline_transactions", F.lit(0)).alias("headline_transactions"),
+        F.coalesce("total_flags", F.lit(0)).alias("total_flags"),
+        *[F.coalesce(f"{s.lower()}_count", F.lit(0)).alias(f"{s.lower()}_count") for s in SEVERITY_LABELS_DESC],
+        F.coalesce("total_transactions_analysed", F.lit(0)).alias("total_transactions_analysed"),
+        F.date_format("_min_date", "yyyy-MM-dd").alias("date_range_start"),
+        F.date_format("_max_date", "yyyy-MM-dd").alias("date_range_end"),
         F.lit(p.currency).alias("currency"),
     )
 

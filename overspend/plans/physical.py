@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# A side is broadcast only when its row count is at most this (checked at run time).
-BROADCAST_MAX_ROWS = 2_000_000
+# A derived side is broadcast only when its row count, checked at run time, is
+# at most this (rows here are < 100 bytes: at most ~50 MB per executor).
+BROADCAST_MAX_ROWS = 500_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
