@@ -19,19 +19,27 @@ from ..session import checkpoint_dir
 BROADCAST_MAX_ROWS = 500_000
 
 
+def is_coarse(df: DataFrame) -> bool:
+    """True when a scan has fewer splits than the cluster has cores.
+
+    Only plans the scan (no job).  Large inputs have far more splits than
+    cores; a coarse source is small or stored as a few unsplittable files.
+    """
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over the cluster's cores when it has fewer splits.
+    """Spread a coarse scan over the cluster's cores (else return it as is).
 
     A source stored as a few unsplittable files (e.g. one parquet row group)
-    yields fewer scan tasks than cores, and every row-local rule then runs in
-    those few tasks.  Large inputs have far more splits than cores and are
-    returned unchanged (no shuffle); the check only plans the scan.  With
-    ``keys`` (a near-unique key) rows are hash-spread, which needs no sort;
-    without, round-robin.
+    yields fewer scan tasks than cores, and every row-local rule would then
+    run in those few tasks.  Such a source is hash-spread on a near-unique
+    key (``keys``; round-robin without).  Large inputs are returned unchanged:
+    no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if not is_coarse(df):
         return df
+    target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.physical import spread
+from ..plans.physical import is_coarse, persisted, spread
 
 # Expected delivery days by part type, and the copy rate.
 EXPECTED_DAYS = {"ECONOMY": 3, "STANDARD": 5, "PROMO": 2, "LARGE": 7, "MEDIUM": 4, "SMALL": 3}
@@ -50,13 +50,12 @@ def padded_supplier_id(key) -> F.Column:
 
 
 def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-        ),
-        "l_orderkey", "l_linenumber",
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
+    coarse = is_coarse(li)
+    li = spread(li, "l_orderkey", "l_linenumber")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -85,7 +84,7 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = F.when(F.col("l_orderkey") % COPY_EVERY == 0, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False))
     )
-    return joined.withColumn("_copy", F.explode(copies)).select(
+    tx = joined.withColumn("_copy", F.explode(copies)).select(
         F.when(is_copy, F.concat(F.lit("DUP-"), base_id)).otherwise(base_id).alias("transaction_id"),
         F.when(is_copy, F.date_add(ship, 1)).otherwise(ship).alias("date"),
         padded_supplier_id(F.col("l_suppkey")).alias("supplier_id"),
@@ -101,3 +100,7 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_copy.alias("is_anomaly"),
         F.when(is_copy, F.lit("duplicate")).otherwise(F.lit("")).alias("anomaly_type"),
     )
+    # a coarse (small, unsplittable) source is derived once and kept for the
+    # several passes of a query; a large source stays lazy — materialize it
+    # once with ``sinks.write_partitioned`` and read that table instead
+    return persisted(tx) if coarse else tx
