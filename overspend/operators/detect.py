@@ -151,9 +151,20 @@ def all_flags(
         # Rule 1 as its own shuffle join; the rest stays on one scan
         dups = R.amount_key(tx).join(groups, R.KEY).filter(R.duplicate_hit(p.window_days))
         flags = _explode_hits(dups, cols, [dup_hit]).unionByName(_explode_hits(frame, cols, row_hits))
+    # rules registered on top of the built-in four
+    for name, fn in R.RULE_REGISTRY.items():
+        if name not in R.BUILT_IN_RULES:
+            flags = flags.unionByName(normalize_flags(fn(tx, p), cols))
     return flags if unique_ids else dedupe_flags(flags)
 
 
+def run_detection(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION, unique_ids: bool = False
+                  ) -> tuple[DataFrame, DataFrame]:
+    """The whole detection run: (flag table, one-row run summary)."""
+    flags = all_flags(tx, p, unique_ids=unique_ids)
+    return flags, run_summary(tx, flags)
+
+
 def run_summary(tx: DataFrame, flags: DataFrame) -> DataFrame:
     """Transactions analysed, flags raised, total leakage and date range (one row).
 

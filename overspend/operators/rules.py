@@ -301,3 +301,18 @@ RULE_REGISTRY = {
     RULE_SLA: lambda tx, p: detect_sla_breaches(tx, p.grace_days, p.penalty_per_day),
     RULE_SPIKE: lambda tx, p: detect_volume_spikes(tx, p.spike_sigma, p.rolling_window),
 }
+BUILT_IN_RULES = frozenset(RULE_REGISTRY)
+
+
+def register_rule(name: str, fn) -> None:
+    """Add a rule: ``fn(transactions, DetectionParams) -> flagged rows`` with
+    ``rule_triggered``, ``rule_detail`` and ``leakage_amount_gbp`` added.  Give
+    it a base score through ``ScoringParams.base_scores`` (unknown rules score
+    30).  Registered rules join every detection run."""
+    RULE_REGISTRY[name] = fn
+
+
+def unregister_rule(name: str) -> None:
+    if name in BUILT_IN_RULES:
+        raise ValueError(f"{name} is a built-in rule")
+    RULE_REGISTRY.pop(name, None)

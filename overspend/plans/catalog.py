@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DETECTION, DEFAULT_REPORT, DEFAULT_SCORING
 from ..functions.numeric import array_round
+from ..plans.physical import persisted
 from ..operators import detect as D
 from ..operators import quality as Q
 from ..operators import report as P
@@ -93,8 +94,8 @@ def q_rule_details(spark, sf_dir):
 
 
 def q_run_summary(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    return D.run_summary(tx, D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE))
+    _, summary = D.run_detection(transactions(spark, sf_dir), DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE)
+    return summary
 
 
 def q_leakage_by_rule(spark, sf_dir):
@@ -175,7 +176,8 @@ def q_flagged_items(spark, sf_dir):
 
 def q_alert_digest(spark, sf_dir):
     tx = transactions(spark, sf_dir)
-    sc = S.score_flags(D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE))
+    # two consumers (headline and top findings): evaluate the scored flags once
+    sc = persisted(S.score_flags(D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE)))
     return P.alert_digest(P.executive_summary(tx, sc), sc, DEFAULT_REPORT)
 
 

@@ -76,7 +76,10 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     """
     checkpoint_dir(df.sparkSession)
     n_parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # kept while range bounds are sampled and rows shuffled: one evaluation
+    source = persisted(df)
+    ranged = source.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    source.unpersist()
     pid, mid = "__pid", "__mid"
     tagged = ranged.withColumn(pid, F.spark_partition_id()).withColumn(mid, F.monotonically_increasing_id())
     # monotonically_increasing_id = (partition index << 33) + position in partition

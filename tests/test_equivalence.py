@@ -90,3 +90,32 @@ def test_oracle(spark, key):
     idx = [d_cols.index(c) for c in sorted(d_cols)]
     d_rows = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert s_rows == d_rows
+
+
+def test_registered_rule_joins_detection(tx):
+    from overspend.operators import rules as RR
+
+    def weekend_rule(t, p):
+        return t.filter(F.dayofweek("date").isin(1, 7)).select(
+            *t.columns,
+            F.lit("weekend_invoice").alias("rule_triggered"),
+            F.lit("Invoice dated on a weekend").alias("rule_detail"),
+            F.lit(0.0).alias("leakage_amount_gbp"),
+        )
+
+    base = D.all_flags(tx, unique_ids=True).count()
+    RR.register_rule("weekend_invoice", weekend_rule)
+    try:
+        flags = D.all_flags(tx, unique_ids=True)
+        extra = tx.filter(F.dayofweek("date").isin(1, 7)).count()
+        assert flags.count() == base + extra
+        scored = score_flags(flags.filter("rule_triggered = 'weekend_invoice'"))
+        assert {r["severity"] for r in scored.select("severity").distinct().collect()} == {"Low"}
+    finally:
+        RR.unregister_rule("weekend_invoice")
+
+
+def test_run_detection(tx):
+    flags, summary = D.run_detection(tx, unique_ids=True)
+    s = summary.first()
+    assert s["total_transactions"] == 6142 and s["total_flagged"] == flags.count()
