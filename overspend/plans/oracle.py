@@ -136,7 +136,7 @@ CTES = {
     "li2": f"""li2 AS (
   SELECT *, false AS is_copy FROM li
   UNION ALL
-  SELECT *, true AS is_copy FROM li WHERE l_orderkey % {COPY_EVERY} = 0
+  SELECT *, true AS is_copy FROM li WHERE l_orderkey % {COPY_EVERY} = 0  -- lines that also get a re-billed copy
 )""",
     "tx": f"""tx AS (
   SELECT
@@ -441,15 +441,16 @@ WHERE category IS NOT NULL AND rule_triggered IS NOT NULL GROUP BY category, rul
         f"""SELECT CAST(dense_rank() OVER (ORDER BY total ASC, supplier_name ASC) AS INTEGER) AS supplier_order,
        supplier_name, rule_triggered, {_rule_label} AS rule, leakage_gbp
 FROM (
-  SELECT t.supplier_name, r.rule_triggered,
+  SELECT t.supplier_name, t.rule_triggered,
          CAST(COALESCE(l.leakage_gbp, 0) AS DECIMAL(38,2)) AS leakage_gbp,
          sum(l.leakage_gbp) OVER (PARTITION BY t.supplier_name) AS total
-  FROM {_top_sup.format(n=RP.exposure_suppliers)} t
-  CROSS JOIN (SELECT DISTINCT rule_triggered FROM scored
-              WHERE supplier_name IN (SELECT supplier_name FROM {_top_sup.format(n=RP.exposure_suppliers)})) r
+  FROM (SELECT supplier_name,
+               unnest((SELECT list(DISTINCT rule_triggered) FROM scored
+                       WHERE supplier_name IN (SELECT supplier_name FROM {_top_sup.format(n=RP.exposure_suppliers)}))) AS rule_triggered
+        FROM {_top_sup.format(n=RP.exposure_suppliers)}) t
   LEFT JOIN (SELECT supplier_name, rule_triggered, {money_total(_x)} AS leakage_gbp FROM scored
              GROUP BY supplier_name, rule_triggered) l
-    ON l.supplier_name = t.supplier_name AND l.rule_triggered = r.rule_triggered
+    ON l.supplier_name = t.supplier_name AND l.rule_triggered = t.rule_triggered
 )""",
         "scored",
     ),

@@ -59,8 +59,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     the join falls back to a shuffle join (AQE handles skew there).
     """
     df = persisted(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number") -> DataFrame:

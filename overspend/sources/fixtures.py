@@ -30,8 +30,23 @@ SUPPLIER_ID_WIDTH = 6
 FIXTURE_IDS_UNIQUE = True
 
 
+# Columns read from each test table, with their stored types.  Declaring them
+# skips footer-based schema inference and fixes the ship date as a zone-less
+# timestamp, so derived dates never depend on the session time zone.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_type string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def _expected_days(p_type):
@@ -81,6 +96,8 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string"),
         F.date_format(ship, "yyyyMMdd"),
     )
+    # every line is kept; lines whose order key is a multiple of COPY_EVERY
+    # additionally get a re-billed copy (the duplicate share of the data)
     copies = F.when(F.col("l_orderkey") % COPY_EVERY == 0, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False))
     )
