@@ -116,7 +116,8 @@ def _prepass(tx: DataFrame, p: DetectionParams, max_rows: int) -> tuple[DataFram
     both = persisted(spikes.unionByName(groups, allowMissingColumns=True))
     sizes = {r["_part"]: r["n"] for r in both.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
     spikes = both.filter(F.col("_part") == "spike").select("date", "daily_count", "rolling_mean", "rolling_std")
-    groups = both.filter(F.col("_part") == "dup").select(*R.KEY, "_first_id", "_first_hit")
+    groups = both.filter(F.col("_part") == "dup").select(*R.KEY, "_n", "_first_hit")
+    groups = persisted(R.with_first_ids(tx, groups))
     return spikes, sizes.get("spike", 0) <= max_rows, groups, sizes.get("dup", 0) <= max_rows
 
 
@@ -145,7 +146,7 @@ def all_flags(
     if groups_small:
         # one scan: duplicates found through the broadcast day-groups as well
         frame = R.amount_key(frame).join(F.broadcast(groups), R.KEY, "left")
-        hits = [F.when(F.col("_first_id").isNotNull() & R.duplicate_hit(p.window_days), dup_hit), *row_hits]
+        hits = [F.when(F.col("_first_hit").isNotNull() & R.duplicate_hit(p.window_days), dup_hit), *row_hits]
         flags = _explode_hits(frame, cols, hits)
     else:
         # Rule 1 as its own shuffle join; the rest stays on one scan

@@ -7,12 +7,15 @@ per flagged input row.  All logic is native Column expressions.
 
 Rule 1 is planned as aggregate + join instead of a window over raw rows:
 
-* ``day_groups``: one row per (supplier, rounded amount, date) with the
-  smallest id and the row count — map-side partial aggregation collapses a
+* ``day_groups``: one row per (supplier, rounded amount, date) with its row
+  count — a hash aggregation whose map-side partial aggregation collapses a
   hot key before the shuffle;
 * a window over those day rows finds the previous day of the same key; a
   key has at most one row per calendar day, so its window partition is
   bounded by the date span, never by the data volume;
+* the smallest id is looked up only for groups with several same-day rows
+  whose first row is not flagged anyway (a string minimum needs a sort, so
+  it runs over those few groups' rows only);
 * flagged rows = rows of groups that flag anything, found by an equi-join on
   (supplier, amount key, date).  The join side is broadcast when small
   (size checked), else the shuffle join lets AQE split a hot group.
@@ -45,32 +48,51 @@ def amount_key(tx: DataFrame) -> DataFrame:
     return tx.withColumn("_amount_key", array_round("invoice_amount", 0))
 
 
+def _keyed(tx: DataFrame) -> DataFrame:
+    """Rows that can match: supplier, amount and date all present."""
+    return amount_key(tx).filter(
+        F.col("supplier_id").isNotNull() & F.col("_amount_key").isNotNull() & F.col("date").isNotNull()
+    )
+
+
 def day_groups(tx: DataFrame) -> DataFrame:
-    """One row per (supplier, amount key, date): first id and row count.
+    """One row per (supplier, amount key, date) with its row count.
 
-    Rows with a null supplier, amount or date never match anything.
+    Only fixed-width aggregates, so Spark plans a hash aggregation with
+    map-side partial aggregation.  Rows with a null supplier, amount or date
+    never match anything.
     """
-    keyed = amount_key(tx).filter(
-        F.col("supplier_id").isNotNull() & F.col("_amount_key").isNotNull() & F.col("date").isNotNull()
-    )
-    return keyed.groupBy(*KEY).agg(
-        F.min("transaction_id").alias("_first_id"),
-        F.count(F.lit(1)).alias("_n"),
-    )
+    return _keyed(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
     """Day groups that flag at least one row.
 
     ``_first_hit``: the group's first row is flagged because the previous day
-    of the same key is at most ``window_days`` earlier.  Later rows of a group
-    are always flagged (gap 0) when ``window_days >= 0``.
+    of the same key is at most ``window_days`` earlier — then every row of the
+    group is flagged.  Otherwise, with ``window_days >= 0``, every row but the
+    group's first (smallest id) is flagged when the group has several rows.
     """
     w = Window.partitionBy("supplier_id", "_amount_key").orderBy("date")
     gap = F.datediff(F.col("date"), F.lag("date").over(w))
     flagged = days.withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
     same_day = (F.col("_n") > 1) if window_days >= 0 else F.lit(False)
-    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_first_id", "_first_hit")
+    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_n", "_first_hit")
+
+
+def first_ids(tx: DataFrame, groups: DataFrame) -> DataFrame:
+    """Smallest id of the groups whose first row must be told apart.
+
+    Only groups with several rows and no ``_first_hit`` need it; a string
+    minimum needs a sort-based aggregation, so it runs over the rows of those
+    groups alone (a semi-join, broadcast when the group list is small).
+    """
+    need = broadcast_if_small(groups.filter(~F.col("_first_hit") & (F.col("_n") > 1)).select(*KEY))
+    return _keyed(tx).join(need, KEY, "left_semi").groupBy(*KEY).agg(F.min("transaction_id").alias("_first_id"))
+
+
+def with_first_ids(tx: DataFrame, groups: DataFrame) -> DataFrame:
+    return groups.join(first_ids(tx, groups), KEY, "left").select(*KEY, "_first_id", "_first_hit")
 
 
 def duplicate_hit(window_days: int) -> Column:
@@ -89,7 +111,7 @@ def duplicate_detail(window_days: int) -> Column:
 
 
 def detect_duplicates(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
-    groups = broadcast_if_small(duplicate_groups(day_groups(tx), window_days))
+    groups = broadcast_if_small(with_first_ids(tx, duplicate_groups(day_groups(tx), window_days)))
     cols = tx.columns
     return (
         amount_key(tx)
@@ -124,7 +146,9 @@ def detect_duplicates_pairwise(tx: DataFrame, window_days: int = DEFAULT_DETECTI
     if window_days < 0:
         return tx.filter(F.lit(False)).select(*out)
     covers = (
-        day_groups(tx)
+        _keyed(tx)
+        .groupBy(*KEY)
+        .agg(F.min("transaction_id").alias("_first_id"))
         .withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
         .select(
             F.col("supplier_id").alias("_s"),
