@@ -117,8 +117,9 @@ def _prepass(tx: DataFrame, p: DetectionParams, max_rows: int) -> tuple[DataFram
     sizes = {r["_part"]: r["n"] for r in both.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
     spikes = both.filter(F.col("_part") == "spike").select("date", "daily_count", "rolling_mean", "rolling_std")
     groups = both.filter(F.col("_part") == "dup").select(*R.KEY, "_n", "_first_hit")
-    groups = persisted(R.with_first_ids(tx, groups))
-    return spikes, sizes.get("spike", 0) <= max_rows, groups, sizes.get("dup", 0) <= max_rows
+    groups_small = sizes.get("dup", 0) <= max_rows
+    groups = persisted(R.with_first_ids(tx, groups, groups_small))
+    return spikes, sizes.get("spike", 0) <= max_rows, groups, groups_small
 
 
 def all_flags(

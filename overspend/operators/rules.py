@@ -80,19 +80,25 @@ def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
     return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_n", "_first_hit")
 
 
-def first_ids(tx: DataFrame, groups: DataFrame) -> DataFrame:
+def first_ids(tx: DataFrame, groups: DataFrame, groups_small: bool | None = None) -> DataFrame:
     """Smallest id of the groups whose first row must be told apart.
 
     Only groups with several rows and no ``_first_hit`` need it; a string
     minimum needs a sort-based aggregation, so it runs over the rows of those
     groups alone (a semi-join, broadcast when the group list is small).
+    ``groups_small``: the caller already checked the size of ``groups`` (a
+    superset of the groups needed here); otherwise it is checked now.
     """
-    need = broadcast_if_small(groups.filter(~F.col("_first_hit") & (F.col("_n") > 1)).select(*KEY))
+    need = groups.filter(~F.col("_first_hit") & (F.col("_n") > 1)).select(*KEY)
+    if groups_small is None:
+        need = broadcast_if_small(need)
+    elif groups_small:
+        need = F.broadcast(need)
     return _keyed(tx).join(need, KEY, "left_semi").groupBy(*KEY).agg(F.min("transaction_id").alias("_first_id"))
 
 
-def with_first_ids(tx: DataFrame, groups: DataFrame) -> DataFrame:
-    return groups.join(first_ids(tx, groups), KEY, "left").select(*KEY, "_first_id", "_first_hit")
+def with_first_ids(tx: DataFrame, groups: DataFrame, groups_small: bool | None = None) -> DataFrame:
+    return groups.join(first_ids(tx, groups, groups_small), KEY, "left").select(*KEY, "_first_id", "_first_hit")
 
 
 def duplicate_hit(window_days: int) -> Column:
