@@ -35,7 +35,7 @@ from ..config import DEFAULT_DETECTION, DetectionParams
 from ..constants import RULE_DUPLICATE, RULE_PRICE, RULE_SLA, RULE_SPIKE
 from ..functions.numeric import array_round, safe_ratio
 from ..functions.text import fixed, fmt_param, grouped, iso_date
-from ..plans.physical import broadcast_if_small
+from ..plans.physical import BROADCAST_MAX_ROWS, broadcast_if_small, persisted
 
 KEY = ["supplier_id", "_amount_key", "date"]
 
@@ -116,8 +116,14 @@ def duplicate_detail(window_days: int) -> Column:
     )
 
 
-def detect_duplicates(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
-    groups = broadcast_if_small(with_first_ids(tx, duplicate_groups(day_groups(tx), window_days)))
+def detect_duplicates(
+    tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days, broadcast_max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    # one size check: the first-id lookup and its result are subsets of the groups
+    groups = persisted(duplicate_groups(day_groups(tx), window_days))
+    small = groups.count() <= broadcast_max_rows
+    groups = with_first_ids(tx, groups, small)
+    groups = F.broadcast(groups) if small else groups
     cols = tx.columns
     return (
         amount_key(tx)

@@ -117,9 +117,9 @@ def q_scored(spark, sf_dir):
 
 
 def q_scored_ranked(spark, sf_dir):
-    return S.rank_scored(scored(spark, sf_dir)).select(
-        "rank", "transaction_id", "rule_triggered", "severity", "severity_rank", "leakage_amount_gbp", "composite_score"
-    )
+    # project first: the ranking sorts and checkpoints only the columns it returns
+    cols = ["transaction_id", "rule_triggered", "severity", "severity_rank", "leakage_amount_gbp", "composite_score"]
+    return S.rank_scored(scored(spark, sf_dir).select(*cols)).select("rank", *cols)
 
 
 def q_critical_top3(spark, sf_dir):

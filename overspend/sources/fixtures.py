@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.physical import is_coarse, persisted, spread
+from ..plans.physical import spread
 
 # Expected delivery days by part type, and the copy rate.
 EXPECTED_DAYS = {"ECONOMY": 3, "STANDARD": 5, "PROMO": 2, "LARGE": 7, "MEDIUM": 4, "SMALL": 3}
@@ -69,7 +69,6 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
-    coarse = is_coarse(li)
     li = spread(li, "l_orderkey", "l_linenumber")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
@@ -117,7 +116,8 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_copy.alias("is_anomaly"),
         F.when(is_copy, F.lit("duplicate")).otherwise(F.lit("")).alias("anomaly_type"),
     )
-    # a coarse (small, unsplittable) source is derived once and kept for the
-    # several passes of a query; a large source stays lazy — materialize it
-    # once with ``sinks.write_partitioned`` and read that table instead
-    return persisted(tx) if coarse else tx
+    # Not cached: re-deriving (scan, broadcast joins, projection) measured
+    # cheaper than building a columnar cache of these string-heavy rows.  For
+    # a large source, materialize the table once (``sinks.write_partitioned``)
+    # and read it back instead of deriving it per query.
+    return tx
