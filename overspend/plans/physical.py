@@ -34,13 +34,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A source stored as a few unsplittable files (e.g. one parquet row group)
     yields fewer scan tasks than cores, and every row-local rule would then
     run in those few tasks.  Such a source is hash-spread on a near-unique
-    key (``keys``; round-robin without).  Large inputs are returned unchanged:
-    no shuffle.
+    key (``keys``; round-robin without) and kept (memory, spilling to disk):
+    the passes of a query then read it in parallel instead of re-reading the
+    single split.  Callers pass the narrow projection they need, so what is
+    kept is compact.  Large inputs are returned unchanged: no shuffle,
+    nothing kept.
     """
     if not is_coarse(df):
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    spread_df = df.repartition(target, *keys) if keys else df.repartition(target)
+    return spread_df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def persisted(df: DataFrame) -> DataFrame:

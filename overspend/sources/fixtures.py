@@ -116,8 +116,8 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_copy.alias("is_anomaly"),
         F.when(is_copy, F.lit("duplicate")).otherwise(F.lit("")).alias("anomaly_type"),
     )
-    # Not cached: re-deriving (scan, broadcast joins, projection) measured
-    # cheaper than building a columnar cache of these string-heavy rows.  For
-    # a large source, materialize the table once (``sinks.write_partitioned``)
-    # and read it back instead of deriving it per query.
+    # The derived rows are not cached: re-deriving from the kept numeric scan
+    # (broadcast joins, projection) measured cheaper than a columnar cache of
+    # these string-heavy rows.  For a large source, materialize the table once
+    # (``sinks.write_partitioned``) and read it back instead.
     return tx
