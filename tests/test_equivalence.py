@@ -119,3 +119,21 @@ def test_run_detection(tx):
     flags, summary = D.run_detection(tx, unique_ids=True)
     s = summary.first()
     assert s["total_transactions"] == 6142 and s["total_flagged"] == flags.count()
+
+
+def test_empty_input_flows_through(tx):
+    empty = tx.limit(0)
+    flags = D.all_flags(empty)
+    scored = score_flags(flags)
+    assert flags.count() == 0 and scored.count() == 0
+    head = P.executive_summary(empty, scored).first()
+    assert head["total_transactions_analysed"] == 0 and head["total_flags"] == 0
+    assert head["headline_gbp"] is None
+    assert {r["severity"]: r["flags"] for r in P.severity_breakdown(scored).collect()} == {
+        "Critical": 0, "High": 0, "Medium": 0, "Low": 0}
+    for table in (P.leakage_by_category(scored), P.top_suppliers(scored), P.rule_share(scored),
+                  P.rule_performance(scored), P.daily_trend(scored), P.severity_heatmap(scored),
+                  P.supplier_exposure(scored), P.category_rule_leakage(scored), P.top_findings(scored)):
+        assert table.count() == 0
+    assert P.alert_digest(P.executive_summary(empty, scored), scored).count() == 0
+    assert P.kpi_tiles(P.executive_summary(empty, scored)).count() == 7
