@@ -18,13 +18,23 @@ def score_flags(flags: DataFrame, p: ScoringParams = DEFAULT_SCORING) -> DataFra
     missing = set(REQUIRED) - set(flags.columns)
     if missing:
         raise ValueError(f"Flagged DataFrame missing columns: {missing}")
-    return (
-        flags.withColumn("base_score", S.base_score("rule_triggered", p))
-        .withColumn("financial_score", S.financial_score("leakage_amount_gbp", p))
-        .withColumn("composite_score", F.least(F.col("base_score") + F.col("financial_score"), F.lit(100.0)))
-        .withColumn("severity", S.severity("composite_score", p))
-        .withColumn("severity_rank", S.severity_rank("severity"))
-        .withColumn("action_required", S.action("severity"))
+    # two projections (each transformation re-analyses the whole plan); the
+    # expressions repeated in the second are cheap column arithmetic
+    parts = flags.withColumns(
+        {
+            "base_score": S.base_score("rule_triggered", p),
+            "financial_score": S.financial_score("leakage_amount_gbp", p),
+        }
+    )
+    composite = F.least(F.col("base_score") + F.col("financial_score"), F.lit(100.0))
+    severity = S.severity(composite, p)
+    return parts.withColumns(
+        {
+            "composite_score": composite,
+            "severity": severity,
+            "severity_rank": S.severity_rank(severity),
+            "action_required": S.action(severity),
+        }
     )
 
 
