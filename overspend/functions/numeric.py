@@ -81,11 +81,6 @@ def exact_sum(c: Column | str) -> Column:
     return F.sum(_col(c).cast(SUM_TYPE))
 
 
-def cents(c: Column | str) -> Column:
-    """A decimal amount rounded half-even to cents, as ``decimal(38,2)``."""
-    return F.bround(_col(c), 2).cast(MONEY)
-
-
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """``num / den`` with ``+inf`` / ``-inf`` / null for a zero denominator.
 

@@ -298,8 +298,8 @@ def alert_digest(summary: DataFrame, scored: DataFrame, p: ReportParams = DEFAUL
 
 
 def alert_payload(digest: DataFrame) -> DataFrame:
-    """The digest as one JSON document per row (for a sink)."""
-    return digest.select(F.to_json(F.struct(*digest.columns)).alias("payload"))
+    """The digest with its fields also as one JSON document (``payload``)."""
+    return digest.withColumn("payload", F.to_json(F.struct(*digest.columns)))
 
 
 # ---------------------------------------------------------------------------

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DETECTION, DEFAULT_REPORT, DEFAULT_SCORING
 from ..functions.numeric import array_round

@@ -21,12 +21,6 @@ from ..operators.score import score_flags
 from .rules import stream_daily_counts, stream_row_flags
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def judge_days(spark: SparkSession, new_days: DataFrame, batch_id: int, history_dir: str, verdict_dir: str,
                p: DetectionParams = DEFAULT_DETECTION) -> None:
     """Append closed days to the daily history and write their spike verdicts.
@@ -81,7 +75,9 @@ def write_alerts(batch: DataFrame, batch_id: int, alert_dir: str, p: DetectionPa
                  rp: ReportParams = DEFAULT_REPORT) -> None:
     """Score the batch's row-rule hits and write its alert digest (if any)."""
     scored = score_flags(stream_row_flags(batch, p))
-    digest = P.alert_digest(P.executive_summary(batch, scored), scored, rp).withColumn("batch_id", F.lit(batch_id))
+    digest = P.alert_payload(P.alert_digest(P.executive_summary(batch, scored), scored, rp)).withColumn(
+        "batch_id", F.lit(batch_id)
+    )
     digest.write.mode("overwrite").parquet(os.path.join(alert_dir, f"batch_id={batch_id}"))
 
 

@@ -94,3 +94,7 @@ def test_alert_sink(spark, landing):
     assert len(alerts) == 1
     assert alerts[0]["alert_severity"] == "Critical" and alerts[0]["alert_count"] > 0
     assert alerts[0]["top_findings"].count("\n") == 2
+    import json
+
+    payload = json.loads(alerts[0]["payload"])
+    assert payload["alert_count"] == alerts[0]["alert_count"] and payload["top_findings"] == alerts[0]["top_findings"]
