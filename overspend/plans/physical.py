@@ -25,7 +25,10 @@ def is_coarse(df: DataFrame) -> bool:
     Only plans the scan (no job).  Large inputs have far more splits than
     cores; a coarse source is small or stored as a few unsplittable files.
     """
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    try:
+        return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 — no RDD access (e.g. a Spark Connect client): never spread
+        return False
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

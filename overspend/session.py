@@ -41,7 +41,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch folder. A cluster session without a configured folder is an error:
     a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a Spark Connect client: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
