@@ -98,3 +98,16 @@ def test_alert_sink(spark, landing):
 
     payload = json.loads(alerts[0]["payload"])
     assert payload["alert_count"] == alerts[0]["alert_count"] and payload["top_findings"] == alerts[0]["top_findings"]
+
+
+def test_duplicate_monitor_equals_batch(spark, landing):
+    from overspend.streaming.jobs import start_duplicate_monitor
+
+    tx, folder = landing
+    base = tempfile.mkdtemp(prefix="overspend-dupmon-")
+    q = start_duplicate_monitor(_stream(spark, folder, files=3), os.path.join(base, "state"),
+                                os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    q.awaitTermination()
+    got = sorted(r[0] for r in spark.read.parquet(os.path.join(base, "out")).select("transaction_id").collect())
+    want = sorted(r[0] for r in R.detect_duplicates(tx).select("transaction_id").collect())
+    assert got == want and len(got) == 142
