@@ -107,9 +107,10 @@ def _explode_hits(frame: DataFrame, tx_columns: list[str], hits: list[Column]) -
 def _prepass(tx: DataFrame, p: DetectionParams, max_rows: int) -> tuple[DataFrame, bool, DataFrame, bool]:
     """Spike days and duplicate day-groups, computed in one job.
 
-    Both small tables are stacked into one persisted frame, so the source is
-    scanned once (its exchanges are reused by both branches) and one tiny
-    aggregation returns both row counts for the broadcast size check.
+    Both small tables are stacked into one persisted frame: the two branches
+    (each reading only the columns it needs) run side by side in one job, and
+    one tiny aggregation returns both row counts for the broadcast size check.
+    The first-id lookup then reuses the duplicate-group count.
     """
     spikes = R.spike_days(tx, p).withColumn("_part", F.lit("spike"))
     groups = R.duplicate_groups(R.day_groups(tx), p.window_days).withColumn("_part", F.lit("dup"))
