@@ -121,3 +121,27 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # these string-heavy rows.  For a large source, materialize the table once
     # (``sinks.write_partitioned``) and read it back instead.
     return tx
+
+
+def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as transactions: the user is the supplier, the
+    value the amount (and baseline), the event day the date; delivery dates
+    equal the date.  A second, naturally duplicated stream source."""
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    day = F.to_date("ts")
+    return ev.select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        day.alias("date"),
+        F.col("user_id").cast("string").alias("supplier_id"),
+        F.col("user_id").cast("string").alias("supplier_name"),
+        F.col("event_type").alias("category"),
+        F.col("value").alias("baseline_rate"),
+        F.col("value").alias("invoice_amount"),
+        day.alias("expected_delivery_date"),
+        day.alias("actual_delivery_date"),
+        F.lit(None).cast("string").alias("po_number"),
+        F.lit(None).cast("string").alias("region"),
+        F.lit(None).cast("string").alias("approved_by"),
+        F.lit(False).alias("is_anomaly"),
+        F.lit("").alias("anomaly_type"),
+    )

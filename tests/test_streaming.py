@@ -111,3 +111,22 @@ def test_duplicate_monitor_equals_batch(spark, landing):
     got = sorted(r[0] for r in spark.read.parquet(os.path.join(base, "out")).select("transaction_id").collect())
     want = sorted(r[0] for r in R.detect_duplicates(tx).select("transaction_id").collect())
     assert got == want and len(got) == 142
+
+
+def test_event_stream_duplicates_equal_batch(spark):
+    """The events table (natural near-duplicates) streamed day by day."""
+    from overspend.sources.fixtures import event_transactions
+
+    ev = event_transactions(spark, SF_SMALL)
+    pdf = ev.toPandas()
+    folder = tempfile.mkdtemp(prefix="overspend-events-")
+    arrow_types = {"string": pa.string(), "date": pa.date32(), "double": pa.float64(), "boolean": pa.bool_()}
+    schema = pa.schema([(f.name, arrow_types[f.dataType.simpleString()]) for f in TRANSACTION_SCHEMA.fields])
+    for i, day in enumerate(sorted(set(pdf["date"]))):
+        path = os.path.join(folder, f"part-{i:04d}.parquet")
+        pq.write_table(pa.Table.from_pandas(pdf[pdf["date"] == day], schema=schema, preserve_index=False), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    got = _memory(stream_duplicates(_stream(spark, folder, files=5), 1, "2 days"), "event_dups")
+    want = sorted(r[0] for r in R.detect_duplicates(ev).select("transaction_id").collect())
+    assert sorted(r[0] for r in got.select("transaction_id").collect()) == want
+    assert len(want) == 32
