@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, url_filter
+from . import decontamination, licenses, line_dedup, packing, quality, url_filter
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,10 +38,39 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("notices")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op8_decontamination": op8_decontamination,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE = {
@@ -61,5 +90,43 @@ WITH rest AS (
   FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
 )
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE n = 1
+""",
+    "op8_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS t
+  FROM (SELECT item_id, w[s:s + 12] AS x FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM b WHERE len(w) > 0))
+), grams AS (
+  SELECT k, s, n, array_to_string(w[s:s + n - 1], ' ') AS t
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win))
+), hit AS (
+  SELECT k, s, g.n, item_id FROM grams g JOIN win USING (n, t)
+), places AS (
+  SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS p FROM hit) GROUP BY k
+), items AS (
+  SELECT k, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS l FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (k) LEFT JOIN items USING (k)
+""",
+    "op9_line_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT k, doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT k, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)
+), crowded AS (
+  SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 20 AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT l.*, coalesce(doc_id <> last, false) AS gone FROM l LEFT JOIN crowded USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY k
 """,
 }

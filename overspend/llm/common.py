@@ -69,3 +69,20 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+#: A side is broadcast only if its strings and rows take at most this.
+SMALL_BYTES = 32_000_000
+
+
+def small(df: DataFrame, most: int = SMALL_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if a count shows that it is small; else as it is, for a shuffle join.
+
+    ``df`` should be a written table, since it is read for the check.
+    """
+    width = sum(
+        (F.coalesce(F.length(F.to_json(F.struct(name))), F.lit(0)) if kind.startswith(("string", "array", "struct")) else F.lit(8) for name, kind in df.dtypes),
+        F.lit(16),
+    )
+    total = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
