@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, licenses, line_dedup, packing, quality, url_filter
+from . import chat_quotes, decontamination, licenses, line_dedup, near_dedup, packing, quality, url_filter, vector_search
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,18 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -68,6 +80,9 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_chat_quotes": op6_chat_quotes,
+    "op7_vector_search": op7_vector_search,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
@@ -90,6 +105,37 @@ WITH rest AS (
   FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
 )
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE n = 1
+""",
+    "op5_near_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY 1
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM sh x JOIN sh y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 75 * (p.n + q.n - shared)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(id, c) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT b, c FROM reach JOIN edges ON a = id WHERE c < b
+), best AS (
+  SELECT id, min(c) AS c FROM reach GROUP BY 1
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, c = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN best ON id = d.doc_id
+""",
+    "op7_vector_search": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id, CAST(list_inner_product(q.c, x.c) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
 """,
     "op8_decontamination": r"""
 WITH d AS (

@@ -4,6 +4,7 @@ folder for written intermediates, and the word and character rules.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,7 +19,17 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOCAL_FOLDER: tempfile.TemporaryDirectory | None = None
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; no change where it is installed there too."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
