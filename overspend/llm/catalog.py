@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_quotes, decontamination, licenses, line_dedup, near_dedup, packing, quality, url_filter, vector_search
+from . import chat_quotes, decontamination, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, url_filter, vector_search
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,6 +23,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -78,6 +83,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_near_dedup": op5_near_dedup,
