@@ -79,7 +79,8 @@ class Discriminant:
             c - 0.5 * np.square((x - m) @ inv.T).sum(axis=1)
             for m, inv, c in zip(self.means, self.inverses, self.constants, strict=True)
         ]
-        return 1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+        # rounded, so that the order of additions in a batch does not show
+        return np.round(1.0 / (1.0 + np.exp(np.clip(logs[0] - logs[1], -500, 500))), 9)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", pooled: float = 0.1, diagonal: float = 0.1, ridge: float = 1e-4) -> Discriminant:
