@@ -48,7 +48,7 @@ KPI_LABELS = ("Total Leakage", "Transactions", "Flags Raised", "Critical", "High
 # --- Fixed values: alert text --------------------------------------------------
 ALERT_NO_ITEMS = "_No Critical items to display._"
 
-# Columns every transaction source must provide.
+# --- Fixed values: columns every transaction source must provide -------------
 REQUIRED_COLUMNS = (
     "transaction_id",
     "date",
@@ -60,6 +60,7 @@ REQUIRED_COLUMNS = (
     "expected_delivery_date",
     "actual_delivery_date",
 )
+# --- Fixed values: which of them are dates and which are numbers ------------------
 DATE_COLUMNS = ("date", "expected_delivery_date", "actual_delivery_date")
 NUMBER_COLUMNS = ("invoice_amount", "baseline_rate")
 OPTIONAL_COLUMNS = ("po_number", "region", "approved_by", "is_anomaly", "anomaly_type")

@@ -60,8 +60,9 @@ def exact_round(c: Column | str, digits: int) -> Column:
 
 
 def nan_to_null(c: Column | str) -> Column:
+    """A number that is none, or that is infinite, becomes null: no amount, and no total, can hold it."""
     x = _col(c)
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None).cast("double")).otherwise(x)
 
 
 # Exact totals: each double enters the sum as decimal(38,18) (its shortest
@@ -72,8 +73,8 @@ MONEY = "decimal(38,2)"
 
 
 def money_total(c: Column | str) -> Column:
-    """Exact total of a money column rounded to cents, as ``decimal(38,2)``."""
-    return F.bround(F.sum(_col(c).cast(SUM_TYPE)), 2).cast(MONEY)
+    """Exact total of a money column rounded to cents, as ``decimal(38,2)``; 0.00 of nothing or of nulls."""
+    return F.coalesce(F.bround(F.sum(_col(c).cast(SUM_TYPE)), 2).cast(MONEY), F.lit(0).cast(MONEY))
 
 
 def exact_sum(c: Column | str) -> Column:

@@ -3,31 +3,29 @@ the run summary.
 
 Two equivalent plans are offered:
 
-* ``all_flags`` (default): rules evaluated on one scan of the transactions.
-  Price and SLA are row-local; spike days and duplicate day-groups are small
-  derived tables joined on the row.  When both pass the size check they are
-  broadcast and the whole detection is one scan with no shuffle of the
-  transactions; when the duplicate groups are too large, Rule 1 runs as its
-  own shuffle join (pruned by Spark's runtime bloom filter, skew split by
-  AQE) and is unioned in.
-* ``all_flags_union``: the four rule operators unioned by name — the plain
-  composition; used as the cross-check of the single-scan plan.
-
-Both return the superset schema: transaction columns + ``FLAG_COLUMNS``.
+* ``all_flags`` (default): price, SLA and spikes are evaluated on one scan of
+  the transactions, with the spike days (at most one row per calendar day)
+  broadcast. The day groups of Rule 1 also give the daily counts. Rows with
+  duplicate ids come from a semi-join. One plan at every size: nothing runs
+  while it is built, no frame stays persisted, no row count switches it.
+* ``all_flags_union``: the four rule operators unioned by name, the plain
+  composition; used as the cross-check.
+
+Both keep one row per (transaction, rule) and return the superset schema:
+transaction columns, ``FLAG_COLUMNS``, and what registered rules add.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_DETECTION, DetectionParams
 from ..constants import RULE_DUPLICATE, RULE_PRICE, RULE_SLA, RULE_SPIKE
 from ..functions.numeric import money_total
-from ..plans.physical import BROADCAST_MAX_ROWS, persisted
 from . import rules as R
 
 FLAG_TYPES = {
@@ -42,40 +40,35 @@ FLAG_TYPES = {
 
 
 def normalize_flags(flags: DataFrame, tx_columns: list[str]) -> DataFrame:
-    """Project a flag frame onto transaction columns + every flag column."""
+    """Project a flag frame onto transaction columns, every flag column, and its own further columns."""
     present = set(flags.columns)
     extra = [
         (F.col(c) if c in present else F.lit(None)).cast(t).alias(c) for c, t in FLAG_TYPES.items()
     ]
-    return flags.select(*[F.col(c) for c in tx_columns], *extra)
+    own = [F.col(c) for c in flags.columns if c not in FLAG_TYPES and c not in tx_columns]
+    return flags.select(*[F.col(c) for c in tx_columns], *extra, *own)
 
 
 def dedupe_flags(flags: DataFrame) -> DataFrame:
-    """Keep one row per (transaction_id, rule_triggered).
+    """Keep one row per (transaction_id, rule_triggered): the earliest, then the one of smallest hash.
 
-    Only needed when transaction ids repeat in the input.  Planned as an
-    aggregation so map-side partial aggregation collapses a hot id before
-    the shuffle; the kept row is the smallest by its column values, which
-    is deterministic whatever the partitioning.
+    Spark keeps only the first row of each group in every task before the
+    shuffle (a window group limit), so a hot id never meets in one task, and
+    the kept row does not depend on the partitioning. Columns without a hash
+    (maps) don't take part in the order.
     """
-    key = ["transaction_id", "rule_triggered"]
-    rest = [c for c in flags.columns if c not in key]
-    ordered = ["date", *[c for c in rest if c != "date"]] if "date" in rest else rest
-    return (
-        flags.groupBy(*key)
-        .agg(F.min(F.struct(*ordered)).alias("_row"))
-        .select(*key, *[F.col(f"_row.{c}").alias(c) for c in ordered])
-        .select(*flags.columns)
-    )
+    hashed = [f.name for f in flags.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = [F.col(c).asc_nulls_last() for c in ("date",) if c in flags.columns]
+    w = Window.partitionBy("transaction_id", "rule_triggered").orderBy(*order, F.xxhash64(*hashed))
+    return flags.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") == 1).drop("_nth")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def all_flags_union(
-    tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION, unique_ids: bool = False
-) -> DataFrame:
-    frames = [fn(tx, p) for fn in R.RULE_REGISTRY.values()]
-    flags = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    flags = normalize_flags(flags, tx.columns)
-    return flags if unique_ids else dedupe_flags(flags)
+def all_flags_union(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
+    return dedupe_flags(_union([normalize_flags(fn(tx, p), tx.columns) for fn in R.RULE_REGISTRY.values()]))
 
 
 def _null(t: T.DataType) -> Column:
@@ -104,35 +97,10 @@ def _explode_hits(frame: DataFrame, tx_columns: list[str], hits: list[Column]) -
     )
 
 
-def _prepass(tx: DataFrame, p: DetectionParams, max_rows: int) -> tuple[DataFrame, bool, DataFrame, bool]:
-    """Spike days and duplicate day-groups, computed in one job.
-
-    Both small tables are stacked into one persisted frame: the two branches
-    (each reading only the columns it needs) run side by side in one job, and
-    one tiny aggregation returns both row counts for the broadcast size check.
-    The first-id lookup then reuses the duplicate-group count.
-    """
-    spikes = R.spike_days(tx, p).withColumn("_part", F.lit("spike"))
-    groups = R.duplicate_groups(R.day_groups(tx), p.window_days).withColumn("_part", F.lit("dup"))
-    both = persisted(spikes.unionByName(groups, allowMissingColumns=True))
-    sizes = {r["_part"]: r["n"] for r in both.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spikes = both.filter(F.col("_part") == "spike").select("date", "daily_count", "rolling_mean", "rolling_std")
-    groups = both.filter(F.col("_part") == "dup").select(*R.KEY, "_n", "_first_hit")
-    groups_small = sizes.get("dup", 0) <= max_rows
-    groups = persisted(R.with_first_ids(tx, groups, groups_small))
-    return spikes, sizes.get("spike", 0) <= max_rows, groups, groups_small
-
-
-def all_flags(
-    tx: DataFrame,
-    p: DetectionParams = DEFAULT_DETECTION,
-    unique_ids: bool = False,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def all_flags(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
     cols = tx.columns
-    spikes, spikes_small, groups, groups_small = _prepass(tx, p, broadcast_max_rows)
-    spikes = F.broadcast(spikes) if spikes_small else spikes
-
+    days = R.day_groups(tx)
+    spikes = R.spike_days_of(R.daily_rollup(days), p)
     breach = R.breach_days(p.grace_days)
     row_hits = [
         F.when(R.price_hit(p.price_threshold), _hit(RULE_PRICE, R.price_detail(p.price_threshold), R.price_leakage(p.price_threshold))),
@@ -143,28 +111,16 @@ def all_flags(
                  mean=F.col("rolling_mean"), std=F.col("rolling_std")),
         ),
     ]
-    frame = tx.join(spikes, "date", "left")
-    dup_hit = _hit(RULE_DUPLICATE, R.duplicate_detail(p.window_days), F.col("invoice_amount"))
-    if groups_small:
-        # one scan: duplicates found through the broadcast day-groups as well
-        frame = R.amount_key(frame).join(F.broadcast(groups), R.KEY, "left")
-        hits = [F.when(F.col("_first_hit").isNotNull() & R.duplicate_hit(p.window_days), dup_hit), *row_hits]
-        flags = _explode_hits(frame, cols, hits)
-    else:
-        # Rule 1 as its own shuffle join; the rest stays on one scan
-        dups = R.amount_key(tx).join(groups, R.KEY).filter(R.duplicate_hit(p.window_days))
-        flags = _explode_hits(dups, cols, [dup_hit]).unionByName(_explode_hits(frame, cols, row_hits))
+    by_row = _explode_hits(tx.join(F.broadcast(spikes), "date", "left"), cols, row_hits)
+    duplicates = R.duplicate_flags(R.with_ids(tx, R.duplicate_ids(tx, days, p.window_days)), p.window_days)
     # rules registered on top of the built-in four
-    for name, fn in R.RULE_REGISTRY.items():
-        if name not in R.BUILT_IN_RULES:
-            flags = flags.unionByName(normalize_flags(fn(tx, p), cols))
-    return flags if unique_ids else dedupe_flags(flags)
+    more = [fn(tx, p) for name, fn in R.RULE_REGISTRY.items() if name not in R.BUILT_IN_RULES]
+    return dedupe_flags(_union([by_row, *[normalize_flags(f, cols) for f in (duplicates, *more)]]))
 
 
-def run_detection(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION, unique_ids: bool = False
-                  ) -> tuple[DataFrame, DataFrame]:
+def run_detection(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> tuple[DataFrame, DataFrame]:
     """The whole detection run: (flag table, one-row run summary)."""
-    flags = all_flags(tx, p, unique_ids=unique_ids)
+    flags = all_flags(tx, p)
     return flags, run_summary(tx, flags)
 
 

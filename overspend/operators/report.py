@@ -148,12 +148,14 @@ def rule_performance(scored: DataFrame) -> DataFrame:
 
 
 def daily_trend(scored: DataFrame) -> DataFrame:
-    """Per flag date: flags, leakage and Critical flags."""
-    return scored.filter(F.col("date").isNotNull()).groupBy("date").agg(
+    """Per flag date: flags, leakage and Critical flags; ``day_order`` is the display order."""
+    daily = scored.filter(F.col("date").isNotNull()).groupBy("date").agg(
         F.count("transaction_id").alias("flags"),
         money_total("leakage_amount_gbp").alias("leakage_gbp"),
         _sev_count("Critical").alias("critical"),
     )
+    # one row per calendar day: a small domain
+    return daily.withColumn("day_order", F.row_number().over(Window.orderBy("date")))
 
 
 def severity_heatmap(scored: DataFrame) -> DataFrame:
@@ -173,12 +175,14 @@ def severity_heatmap(scored: DataFrame) -> DataFrame:
 
 
 def category_rule_leakage(scored: DataFrame) -> DataFrame:
-    """Leakage per (category, rule)."""
-    return (
+    """Leakage per (category, rule); ``bar_order`` is the display order within a rule, smallest first."""
+    totals = (
         scored.filter(F.col("category").isNotNull() & F.col("rule_triggered").isNotNull())
         .groupBy("category", "rule_triggered")
         .agg(money_total("leakage_amount_gbp").alias("leakage_gbp"))
     )
+    w = Window.partitionBy("rule_triggered").orderBy("leakage_gbp", "category")  # one row per category
+    return totals.withColumn("bar_order", F.row_number().over(w))
 
 
 def supplier_exposure(scored: DataFrame, n: int = DEFAULT_REPORT.exposure_suppliers) -> DataFrame:
@@ -188,21 +192,21 @@ def supplier_exposure(scored: DataFrame, n: int = DEFAULT_REPORT.exposure_suppli
     Densification explodes the (small) set of rules per supplier instead of a
     cross join; all frames here are bounded by n × number of rules.
     """
-    top = top_suppliers(scored, n).select("supplier_name")
-    long = (
-        scored.join(F.broadcast(top), "supplier_name", "left_semi")  # n rows: fixed size
+    # one evaluation of the flags: per supplier its totals by rule (as many as rules), then the n largest
+    per_supplier = (
+        scored.filter(F.col("supplier_name").isNotNull())
         .groupBy("supplier_name", "rule_triggered")
-        .agg(money_total("leakage_amount_gbp").alias("leakage_gbp"))
-    )
-    everywhere = Window.partitionBy()
-    per_supplier = long.withColumn("_rules", F.array_sort(F.collect_set("rule_triggered").over(everywhere))).groupBy(
-        "supplier_name"
-    ).agg(
-        F.first("_rules").alias("_rules"),
-        F.map_from_entries(F.collect_list(F.struct("rule_triggered", "leakage_gbp"))).alias("_by_rule"),
-        F.sum("leakage_gbp").alias("_total"),
+        .agg(money_total("leakage_amount_gbp").alias("leakage_gbp"), exact_sum("leakage_amount_gbp").alias("_exact"))
+        .groupBy("supplier_name")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("rule_triggered", "leakage_gbp"))).alias("_by_rule"),
+            F.sum("leakage_gbp").alias("_total"),
+            F.coalesce(F.bround(F.sum("_exact"), 2), F.lit(0)).alias("_rank"),
+        )
     )
-    dense = per_supplier.select(
+    top = per_supplier.orderBy(F.col("_rank").desc(), F.col("supplier_name")).limit(n)
+    rules = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("_by_rule")).over(Window.partitionBy()))))
+    dense = top.withColumn("_rules", rules).select(
         "supplier_name", "_total", F.explode("_rules").alias("rule_triggered"), "_by_rule"
     ).select(
         "supplier_name",
@@ -266,6 +270,7 @@ def alert_digest(summary: DataFrame, scored: DataFrame, p: ReportParams = DEFAUL
     text lines (or a fixed note when there are none).
     """
     items = top_findings(scored, p.alert_items, p.alert_severity)
+    # The alert line, as it appears in the output.
     line = F.concat(
         F.lit("• *"), F.coalesce(F.col("transaction_id"), F.lit("N/A")), F.lit("* | "),
         F.coalesce(F.col("supplier_name"), F.lit("Unknown")), F.lit(" | Rule: `"),

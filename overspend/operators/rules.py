@@ -5,25 +5,24 @@ with ``rule_triggered``, ``rule_detail`` and ``leakage_amount_gbp`` added
 (plus ``breach_days`` for SLA and the daily statistics for spikes), one row
 per flagged input row.  All logic is native Column expressions.
 
-Rule 1 is planned as aggregate + join instead of a window over raw rows:
+Rule 1 flags ids: with the rows of one supplier and one amount (rounded
+half-even to a whole unit) in (date, transaction_id) order, nulls first, the id
+of every row that has an earlier row at most ``window_days`` before it is
+flagged, and all rows with a flagged id are returned. A row loaded twice is
+therefore found, as is an id that repeats on other days. It is planned as
+aggregates and joins instead of a window over raw rows:
 
 * ``day_groups``: one row per (supplier, rounded amount, date) with its row
-  count — a hash aggregation whose map-side partial aggregation collapses a
+  count: a hash aggregation whose map-side partial aggregation collapses a
   hot key before the shuffle;
 * a window over those day rows finds the previous day of the same key; a
   key has at most one row per calendar day, so its window partition is
   bounded by the date span, never by the data volume;
-* the smallest id is looked up only for groups with several same-day rows
-  whose first row is not flagged anyway (a string minimum needs a sort, so
-  it runs over those few groups' rows only);
-* flagged rows = rows of groups that flag anything, found by an equi-join on
-  (supplier, amount key, date).  The join side is broadcast when small
-  (size checked), else the shuffle join lets AQE split a hot group.
-
-A row is a duplicate iff an earlier row in (date, transaction_id) order
-with the same supplier and the same amount rounded half-even to a whole unit
-lies at most ``window_days`` before it; the first row of a chain is never
-flagged, each later link is.
+* the narrow (key, id) rows of the groups that flag anything are counted per
+  id, which tells the first row of a group from the others;
+* the flagged ids select the rows by a semi-join, in which AQE splits a hot id.
+
+Nothing runs while a query is built, and nothing stays persisted.
 """
 
 from __future__ import annotations
@@ -35,7 +34,6 @@ from ..config import DEFAULT_DETECTION, DetectionParams
 from ..constants import RULE_DUPLICATE, RULE_PRICE, RULE_SLA, RULE_SPIKE
 from ..functions.numeric import array_round, safe_ratio
 from ..functions.text import fixed, fmt_param, grouped, iso_date
-from ..plans.physical import BROADCAST_MAX_ROWS, broadcast_if_small, persisted
 
 KEY = ["supplier_id", "_amount_key", "date"]
 
@@ -56,128 +54,115 @@ def _keyed(tx: DataFrame) -> DataFrame:
 
 
 def day_groups(tx: DataFrame) -> DataFrame:
-    """One row per (supplier, amount key, date) with its row count.
+    """One row per (supplier, amount key, date), nulls included, with its row count.
 
     Only fixed-width aggregates, so Spark plans a hash aggregation with
-    map-side partial aggregation.  Rows with a null supplier, amount or date
-    never match anything.
+    map-side partial aggregation. ``_usable`` marks keys without nulls: only
+    they can match. It is an aggregate, not a filter on the keys, so that the
+    daily counts and the duplicate groups share one exchange.
     """
-    return _keyed(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
+    usable = F.col("supplier_id").isNotNull() & F.col("_amount_key").isNotNull() & F.col("date").isNotNull()
+    return amount_key(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(usable).alias("_usable"))
 
 
 def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
     """Day groups that flag at least one row.
 
     ``_first_hit``: the group's first row is flagged because the previous day
-    of the same key is at most ``window_days`` earlier — then every row of the
-    group is flagged.  Otherwise, with ``window_days >= 0``, every row but the
-    group's first (smallest id) is flagged when the group has several rows.
+    of the same key is at most ``window_days`` earlier; then every row of the
+    group is flagged. Otherwise, with ``window_days >= 0``, every row but the
+    group's first is flagged when the group has several rows.
     """
     w = Window.partitionBy("supplier_id", "_amount_key").orderBy("date")
     gap = F.datediff(F.col("date"), F.lag("date").over(w))
-    flagged = days.withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
+    flagged = days.filter("_usable").withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
     same_day = (F.col("_n") > 1) if window_days >= 0 else F.lit(False)
-    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_n", "_first_hit")
-
+    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_first_hit")
 
-def first_ids(tx: DataFrame, groups: DataFrame, groups_small: bool | None = None) -> DataFrame:
-    """Smallest id of the groups whose first row must be told apart.
-
-    Only groups with several rows and no ``_first_hit`` need it; a string
-    minimum needs a sort-based aggregation, so it runs over the rows of those
-    groups alone (a semi-join, broadcast when the group list is small).
-    ``groups_small``: the caller already checked the size of ``groups`` (a
-    superset of the groups needed here); otherwise it is checked now.
-    """
-    need = groups.filter(~F.col("_first_hit") & (F.col("_n") > 1)).select(*KEY)
-    if groups_small is None:
-        need = broadcast_if_small(need)
-    elif groups_small:
-        need = F.broadcast(need)
-    return _keyed(tx).join(need, KEY, "left_semi").groupBy(*KEY).agg(F.min("transaction_id").alias("_first_id"))
 
+def duplicate_ids(tx: DataFrame, days: DataFrame, window_days: int) -> DataFrame:
+    """Distinct ids that Rule 1 flags (a null id counts as an id)."""
+    rows = amount_key(tx).select(*KEY, "transaction_id").join(duplicate_groups(days, window_days), KEY)
+    counts = rows.groupBy(*KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"), F.max("_first_hit").alias("_hit"))
+    # the first row of a group without an earlier day is legitimate, unless its id is there again
+    first = counts.filter(~F.col("_hit")).groupBy(*KEY).agg(F.min(F.struct("transaction_id", "_c")).alias("_first"))
+    is_first = F.col("_first").isNotNull() & F.col("transaction_id").eqNullSafe(F.col("_first.transaction_id"))
+    return (
+        counts.join(first, KEY, "left")
+        .filter(~is_first | (F.col("_first._c") > 1))
+        .select(F.col("transaction_id").alias("_flagged_id"))
+        .distinct()
+    )
 
-def with_first_ids(tx: DataFrame, groups: DataFrame, groups_small: bool | None = None) -> DataFrame:
-    return groups.join(first_ids(tx, groups, groups_small), KEY, "left").select(*KEY, "_first_id", "_first_hit")
 
+def with_ids(tx: DataFrame, ids: DataFrame) -> DataFrame:
+    """All rows of ``tx`` whose id is flagged, whatever else they hold."""
+    return tx.join(ids, tx["transaction_id"].eqNullSafe(ids["_flagged_id"]), "left_semi")
 
-def duplicate_hit(window_days: int) -> Column:
-    later_same_day = (F.col("transaction_id") != F.col("_first_id")) if window_days >= 0 else F.lit(False)
-    return F.coalesce(later_same_day, F.lit(False)) | F.col("_first_hit")
 
+# The texts of the four rule details below appear in the output.
 
 def duplicate_detail(window_days: int) -> Column:
     return F.concat(
         F.lit("Duplicate of supplier "),
-        F.col("supplier_id"),
+        F.coalesce(F.col("supplier_id"), F.lit("nan")),
         F.lit(" invoice £"),
-        grouped("invoice_amount", 2),
+        F.coalesce(grouped("invoice_amount", 2), F.lit("nan")),
         F.lit(f" within {window_days}d window"),
     )
 
 
-def detect_duplicates(
-    tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days, broadcast_max_rows: int = BROADCAST_MAX_ROWS
-) -> DataFrame:
-    # one size check: the first-id lookup and its result are subsets of the groups
-    groups = persisted(duplicate_groups(day_groups(tx), window_days))
-    small = groups.count() <= broadcast_max_rows
-    groups = with_first_ids(tx, groups, small)
-    groups = F.broadcast(groups) if small else groups
-    cols = tx.columns
-    return (
-        amount_key(tx)
-        .join(groups, KEY)
-        .filter(duplicate_hit(window_days))
-        .select(
-            *cols,
-            F.lit(RULE_DUPLICATE).alias("rule_triggered"),
-            duplicate_detail(window_days).alias("rule_detail"),
-            F.col("invoice_amount").alias("leakage_amount_gbp"),
-        )
+def duplicate_flags(rows: DataFrame, window_days: int) -> DataFrame:
+    return rows.select(
+        *rows.columns,
+        F.lit(RULE_DUPLICATE).alias("rule_triggered"),
+        duplicate_detail(window_days).alias("rule_detail"),
+        F.col("invoice_amount").alias("leakage_amount_gbp"),
     )
 
 
+def detect_duplicates(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
+    return duplicate_flags(with_ids(tx, duplicate_ids(tx, day_groups(tx), window_days)), window_days)
+
+
 def detect_duplicates_pairwise(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
     """Rule 1 written as an interval self-join with bounded fan-out.
 
     A row is flagged when a *preceding* row of the same key exists: on the
-    same day with a smaller id, or on one of the ``window_days`` previous
-    days.  The probed side is pre-aggregated to one row per (key, day) and
-    each day group is offered to the ``window_days + 1`` days it covers, so
-    a row meets at most ``window_days + 1`` candidates — no pair explosion in
-    a hot group.  Kept as an independent cross-check of ``detect_duplicates``.
+    same day with a smaller id or its own id again, or on one of the
+    ``window_days`` previous days. The probed side is pre-aggregated to one row
+    per (key, day) and each day group is offered to the ``window_days + 1``
+    days it covers, so a row meets at most ``window_days + 1`` candidates: no
+    pair explosion in a hot group, but keep the window to days or weeks. An
+    independent cross-check of ``detect_duplicates``.
     """
-    cols = tx.columns
-    out = [
-        *cols,
-        F.lit(RULE_DUPLICATE).alias("rule_triggered"),
-        duplicate_detail(window_days).alias("rule_detail"),
-        F.col("invoice_amount").alias("leakage_amount_gbp"),
-    ]
     if window_days < 0:
-        return tx.filter(F.lit(False)).select(*out)
+        return duplicate_flags(tx.filter(F.lit(False)), window_days)
     covers = (
         _keyed(tx)
+        .groupBy(*KEY, "transaction_id")
+        .agg(F.count(F.lit(1)).alias("_c"))
         .groupBy(*KEY)
-        .agg(F.min("transaction_id").alias("_first_id"))
+        .agg(F.min(F.struct("transaction_id", "_c")).alias("_first"))
         .withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
         .select(
             F.col("supplier_id").alias("_s"),
             F.col("_amount_key").alias("_k"),
             F.date_add(F.col("date"), F.col("_back")).alias("_d"),
             "_back",
-            "_first_id",
+            F.col("_first.transaction_id").alias("_first_id"),
+            F.col("_first._c").alias("_first_c"),
         )
     )
-    probes = amount_key(tx)
+    probes = _keyed(tx).select(*KEY, "transaction_id")
     cond = (
         (probes.supplier_id == covers._s)
         & (probes._amount_key == covers._k)
         & (probes.date == covers._d)
-        & ((covers._back > 0) | (covers._first_id < probes.transaction_id))
+        & ((covers._back > 0) | ~covers._first_id.eqNullSafe(probes.transaction_id) | (covers._first_c > 1))
     )
-    return probes.join(covers, cond, "left_semi").select(*out)
+    ids = probes.join(covers, cond, "left_semi").select(F.col("transaction_id").alias("_flagged_id")).distinct()
+    return duplicate_flags(with_ids(tx, ids), window_days)
 
 
 # ---------------------------------------------------------------------------
@@ -203,7 +188,7 @@ def price_detail(threshold: float) -> Column:
 
 
 def price_leakage(threshold: float) -> Column:
-    # excess over the threshold-adjusted baseline
+    # what was paid beyond the tolerated price
     return array_round(F.col("invoice_amount") - F.col("baseline_rate") * F.lit(float(threshold)), 2)
 
 
@@ -267,6 +252,12 @@ def daily_counts(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col("date").isNotNull()).groupBy("date").agg(F.count(F.lit(1)).alias("daily_count"))
 
 
+def daily_rollup(days: DataFrame) -> DataFrame:
+    """The same counts from the day groups of Rule 1."""
+    daily = days.groupBy("date").agg(F.sum("_n").alias("daily_count"), F.max("date").alias("_day"))
+    return daily.filter(F.col("_day").isNotNull()).select("date", "daily_count")
+
+
 def volume_baseline_from(daily: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
     """Rolling baseline over the previous ``rolling_window`` observed days.
 
@@ -291,12 +282,13 @@ def volume_baseline(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> Da
     return volume_baseline_from(daily_counts(tx), p)
 
 
+def spike_days_of(daily: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
+    """Spike days with their statistics: at most one row per calendar day, so small enough to broadcast."""
+    return volume_baseline_from(daily, p).filter("is_spike").select("date", "daily_count", "rolling_mean", "rolling_std")
+
+
 def spike_days(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
-    return (
-        volume_baseline(tx, p)
-        .filter("is_spike")
-        .select("date", "daily_count", "rolling_mean", "rolling_std")
-    )
+    return spike_days_of(daily_counts(tx), p)
 
 
 def spike_detail(sigma: float) -> Column:
@@ -315,8 +307,8 @@ def detect_volume_spikes(
     rolling_window: int = DEFAULT_DETECTION.rolling_window,
 ) -> DataFrame:
     p = DetectionParams(spike_sigma=sigma_threshold, rolling_window=rolling_window)
-    spikes = broadcast_if_small(spike_days(tx, p))
-    return tx.join(spikes, "date").select(
+    spikes = spike_days(tx, p)
+    return tx.join(F.broadcast(spikes), "date").select(
         *tx.columns,
         "daily_count",
         "rolling_mean",
@@ -344,7 +336,10 @@ def register_rule(name: str, fn) -> None:
     """Add a rule: ``fn(transactions, DetectionParams) -> flagged rows`` with
     ``rule_triggered``, ``rule_detail`` and ``leakage_amount_gbp`` added.  Give
     it a base score through ``ScoringParams.base_scores`` (unknown rules score
-    30).  Registered rules join every detection run."""
+    30).  Registered rules join every detection run, and their own columns stay
+    in the flag table. The built-in rules cannot be replaced."""
+    if name in BUILT_IN_RULES:
+        raise ValueError(f"{name} is a built-in rule")
     RULE_REGISTRY[name] = fn
 
 

@@ -17,7 +17,7 @@ REQUIRED = ("rule_triggered", "leakage_amount_gbp")
 def score_flags(flags: DataFrame, p: ScoringParams = DEFAULT_SCORING) -> DataFrame:
     missing = set(REQUIRED) - set(flags.columns)
     if missing:
-        raise ValueError(f"Flagged DataFrame missing columns: {missing}")
+        raise ValueError(f"cannot score flags without {sorted(missing)}")
     # two projections (each transformation re-analyses the whole plan); the
     # expressions repeated in the second are cheap column arithmetic
     parts = flags.withColumns(

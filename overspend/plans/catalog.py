@@ -10,16 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DETECTION, DEFAULT_REPORT, DEFAULT_SCORING
 from ..functions.numeric import array_round
-from ..plans.physical import persisted
 from ..operators import detect as D
 from ..operators import quality as Q
 from ..operators import report as P
 from ..operators import rules as R
 from ..operators import score as S
-from ..sources.fixtures import FIXTURE_IDS_UNIQUE, fixture_transactions
+from ..sources.fixtures import fixture_transactions, repeated_transactions
 from ..sources.transactions import as_strings, coerce_transactions, load_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.all_flags(transactions(spark, sf_dir), DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE)
+    return D.all_flags(transactions(spark, sf_dir), DEFAULT_DETECTION)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir)
-    sc = S.score_flags(D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE))
+    sc = S.score_flags(D.all_flags(tx, DEFAULT_DETECTION))
     return P.executive_summary(tx, sc)
 
 
@@ -93,7 +93,7 @@ def q_rule_details(spark, sf_dir):
 
 
 def q_run_summary(spark, sf_dir):
-    _, summary = D.run_detection(transactions(spark, sf_dir), DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE)
+    _, summary = D.run_detection(transactions(spark, sf_dir), DEFAULT_DETECTION)
     return summary
 
 
@@ -175,14 +175,29 @@ def q_flagged_items(spark, sf_dir):
 
 def q_alert_digest(spark, sf_dir):
     tx = transactions(spark, sf_dir)
-    # two consumers (headline and top findings): evaluate the scored flags once
-    sc = persisted(S.score_flags(D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE)))
+    sc = S.score_flags(D.all_flags(tx, DEFAULT_DETECTION))
     return P.alert_digest(P.executive_summary(tx, sc), sc, DEFAULT_REPORT)
 
 
+def q_alert_payload(spark, sf_dir):
+    return P.alert_payload(q_alert_digest(spark, sf_dir)).select("payload")
+
+
+def q_dedup_flags(spark, sf_dir):
+    # lines loaded twice, and ids that come again a day later
+    tx = repeated_transactions(transactions(spark, sf_dir))
+    return D.all_flags(tx, DEFAULT_DETECTION).select("transaction_id", "rule_triggered", "date", "rule_detail", "leakage_amount_gbp")
+
+
+def q_empty_totals(spark, sf_dir):
+    # totals of a run without any finding: zero, not null
+    tx = transactions(spark, sf_dir).filter(F.col("supplier_id") == "")
+    return D.run_summary(tx, D.all_flags(tx, DEFAULT_DETECTION))
+
+
 def q_rule_quality(spark, sf_dir):
     tx = transactions(spark, sf_dir)
-    return Q.rule_quality(tx, D.all_flags(tx, DEFAULT_DETECTION, unique_ids=FIXTURE_IDS_UNIQUE))
+    return Q.rule_quality(tx, D.all_flags(tx, DEFAULT_DETECTION))
 
 
 QUERIES: dict[str, Query] = {
@@ -217,5 +232,8 @@ QUERIES: dict[str, Query] = {
     "financial_score": q_financial_score,
     "scored": q_scored,
     "alert_digest": q_alert_digest,
+    "alert_payload": q_alert_payload,
+    "dedup_flags": q_dedup_flags,
+    "empty_totals": q_empty_totals,
     "rule_quality": q_rule_quality,
 }

@@ -74,7 +74,7 @@ def iso(e: str) -> str:
 
 
 def money_total(e: str) -> str:
-    return f"CAST(round_even(SUM(CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(38,18))), 2) AS DECIMAL(38,2))"
+    return f"COALESCE(CAST(round_even(SUM(CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(38,18))), 2) AS DECIMAL(38,2)), CAST(0 AS DECIMAL(38,2)))"
 
 
 def exact_sum(e: str) -> str:
@@ -157,11 +157,14 @@ CTES = {
   FROM li2
 )""",
     "dups": f"""dups AS (
-  SELECT {TXC} FROM (
-    SELECT *, lag(date) OVER (PARTITION BY supplier_id, round_even(invoice_amount, 0) ORDER BY date, transaction_id) AS prev_date
-    FROM tx
-    WHERE supplier_id IS NOT NULL AND invoice_amount IS NOT NULL AND date IS NOT NULL
-  ) WHERE prev_date IS NOT NULL AND CAST(date - prev_date AS INTEGER) <= {W}
+  SELECT {TXC} FROM tx WHERE transaction_id IN (
+    SELECT transaction_id FROM (
+      SELECT transaction_id, date,
+             lag(date) OVER (PARTITION BY supplier_id, round_even(invoice_amount, 0) ORDER BY date, transaction_id) AS prev_date
+      FROM tx
+      WHERE supplier_id IS NOT NULL AND invoice_amount IS NOT NULL AND date IS NOT NULL
+    ) WHERE prev_date IS NOT NULL AND CAST(date - prev_date AS INTEGER) <= {W}
+  )
 )""",
     "dup_flags": f"""dup_flags AS (
   {_flag_select('duplicate', "'Duplicate of supplier ' || supplier_id || ' invoice £' || " + grouped('invoice_amount', 2) + f" || ' within {W}d window'", 'invoice_amount')}
@@ -205,10 +208,12 @@ CTES = {
   FROM spike_rows
 )""",
     "flags": """flags AS (
-  SELECT * FROM dup_flags
-  UNION ALL SELECT * FROM price_flags
-  UNION ALL SELECT * FROM sla_flags
-  UNION ALL SELECT * FROM spike_flags
+  SELECT * FROM (
+    SELECT * FROM dup_flags
+    UNION ALL SELECT * FROM price_flags
+    UNION ALL SELECT * FROM sla_flags
+    UNION ALL SELECT * FROM spike_flags
+  ) QUALIFY row_number() OVER (PARTITION BY transaction_id, rule_triggered ORDER BY date) = 1
 )""",
 }
 
@@ -419,7 +424,8 @@ FROM (SELECT rule_triggered, count(*) AS total_flags,
     ),
     "daily_trend": sql(
         f"""SELECT date, count(transaction_id) AS flags, {money_total(_x)} AS leakage_gbp,
-       count(*) FILTER (WHERE severity = 'Critical') AS critical
+       count(*) FILTER (WHERE severity = 'Critical') AS critical,
+       CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS day_order
 FROM scored WHERE date IS NOT NULL GROUP BY date""",
         "scored",
     ),
@@ -433,8 +439,9 @@ FROM scored WHERE rule_triggered IS NOT NULL GROUP BY rule_triggered""",
         "scored",
     ),
     "category_rule_leakage": sql(
-        f"""SELECT category, rule_triggered, {money_total(_x)} AS leakage_gbp FROM scored
-WHERE category IS NOT NULL AND rule_triggered IS NOT NULL GROUP BY category, rule_triggered""",
+        f"""SELECT *, CAST(row_number() OVER (PARTITION BY rule_triggered ORDER BY leakage_gbp, category) AS INTEGER) AS bar_order
+FROM (SELECT category, rule_triggered, {money_total(_x)} AS leakage_gbp FROM scored
+      WHERE category IS NOT NULL AND rule_triggered IS NOT NULL GROUP BY category, rule_triggered)""",
         "scored",
     ),
     "supplier_exposure": sql(
@@ -494,3 +501,26 @@ FROM (
         "flags", "tx",
     ),
 }
+
+_digest = ("alert_severity", "alert_count", "headline_gbp", "critical_count", "high_count", "total_transactions_analysed", "period", "top_findings")
+_with, _body = ORACLE["alert_digest"].rsplit("\nSELECT 'Critical' AS alert_severity", 1)
+ORACLE["alert_payload"] = (
+    _with
+    + "\nSELECT CAST(to_json({" + ", ".join(f"{q(c)}: {c}" for c in _digest) + "}) AS VARCHAR) AS payload FROM (SELECT 'Critical' AS alert_severity"
+    + _body
+    + ")"
+)
+
+# repeated ids: lines loaded twice, and ids that come again a day later
+_order = "CAST(substr(po_number, 4) AS BIGINT)"
+_repeated = f"""tx AS (
+  SELECT * FROM tx0
+  UNION ALL SELECT * FROM tx0 WHERE {_order} % 7 = 0
+  UNION ALL SELECT * REPLACE (date + 1 AS date) FROM tx0 WHERE {_order} % 11 = 0
+)"""
+ORACLE["dedup_flags"] = sql("SELECT transaction_id, rule_triggered, date, rule_detail, leakage_amount_gbp FROM flags", "flags").replace(
+    CTES["tx"], CTES["tx"].replace("tx AS (", "tx0 AS (", 1) + ",\n" + _repeated
+)
+ORACLE["empty_totals"] = ORACLE["run_summary"].replace(
+    CTES["tx"], CTES["tx"].replace("tx AS (", "tx0 AS (", 1) + ",\ntx AS (SELECT * FROM tx0 WHERE supplier_id = '')"
+)

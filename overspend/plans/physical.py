@@ -1,9 +1,6 @@
-"""Physical-plan helpers: size-checked broadcast and a distributed global
-row number.
-
-Neither collects data to the driver: the broadcast check counts rows of an
-already-aggregated frame, and the row number is computed per partition with
-a small offsets table whose size is the number of partitions.
+"""Physical-plan helpers: spreading coarse scans and a distributed global row
+number, computed per partition with a small offsets table whose size is the
+number of partitions. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -14,11 +11,6 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# A derived side is broadcast only when its row count, checked at run time, is
-# at most this (rows here are < 100 bytes: at most ~50 MB per executor).
-BROADCAST_MAX_ROWS = 500_000
-
-
 def is_coarse(df: DataFrame) -> bool:
     """True when a scan has fewer splits than the cluster has cores.
 
@@ -58,17 +50,6 @@ def persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    ``df`` is persisted first, so the count and the later join read the same
-    computed rows once.  Above the limit the frame is returned unhinted and
-    the join falls back to a shuffle join (AQE handles skew there).
-    """
-    df = persisted(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number") -> DataFrame:
     """Number all rows 1..N in ``order`` without a single-partition window.
 

@@ -11,7 +11,7 @@ Plan notes (100 TB view):
   size check (``autoBroadcastJoinThreshold`` on file statistics, then AQE on
   runtime sizes) picks broadcast or sort-merge.  nation (25 rows) and region
   (5 rows) are fixed-size and broadcast explicitly.
-* the transaction id (order, line, part, supplier, ship date) is unique.
+* the transaction id joins order, line, part, supplier and ship date.
 """
 
 from __future__ import annotations
@@ -26,9 +26,6 @@ EXPECTED_DAYS = {"ECONOMY": 3, "STANDARD": 5, "PROMO": 2, "LARGE": 7, "MEDIUM":
 COPY_EVERY = 40
 SUPPLIER_ID_WIDTH = 6
 
-# The composite id above is unique, so rule outputs need no (id, rule) dedup.
-FIXTURE_IDS_UNIQUE = True
-
 
 # Columns read from each test table, with their stored types.  Declaring them
 # skips footer-based schema inference and fixes the ship date as a zone-less
@@ -123,6 +120,15 @@ def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx
 
 
+def repeated_transactions(tx: DataFrame, twice_every: int = 7, later_every: int = 11) -> DataFrame:
+    """``tx`` with repeated ids: orders whose number divides by ``twice_every``
+    are there twice, those by ``later_every`` once more a day later."""
+    order = F.substring("po_number", 4, 20).cast("long")
+    twice = F.when(order % twice_every == 0, F.array(F.lit(0), F.lit(0))).otherwise(F.array(F.lit(0)))
+    later = F.when(order % later_every == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return tx.withColumn("_shift", F.explode(F.concat(twice, later))).withColumn("date", F.date_add("date", F.col("_shift"))).drop("_shift")
+
+
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as transactions: the user is the supplier, the
     value the amount (and baseline), the event day the date; delivery dates

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..config import DEFAULT_REPORT, ReportParams
@@ -24,8 +25,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "error", by: str = "date") -> None:
-    """Parquet partitioned by ``by`` (date): later reads prune by date."""
-    df.repartition(by).write.mode(mode).partitionBy(by).parquet(path)
+    """Parquet partitioned by ``by`` (date): later reads prune by date.
+
+    The rebalance brings small days together and lets AQE split a busy day
+    over several tasks and files, by the advisory partition size.
+    """
+    df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def write_report(tx: DataFrame, scored: DataFrame, out_dir: str, p: ReportParams = DEFAULT_REPORT,
@@ -36,6 +41,14 @@ def write_report(tx: DataFrame, scored: DataFrame, out_dir: str, p: ReportParams
     flagged:    flagged_items, sorted in review order (optional row limit)
     statistics: rule_performance, daily_trend
     """
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)  # seven tables from one evaluation
+    try:
+        return _write_report(tx, scored, out_dir, p, mode)
+    finally:
+        scored.unpersist()
+
+
+def _write_report(tx: DataFrame, scored: DataFrame, out_dir: str, p: ReportParams, mode: str) -> dict[str, str]:
     summary = P.executive_summary(tx, scored)
     tables = {
         "summary/executive_summary": summary,

@@ -41,7 +41,7 @@ def check_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> None:
     """Raise ``ValueError`` naming every missing required column (no job)."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {set(missing)}")
+        raise ValueError(f"the transactions lack {missing}")
 
 
 def _strict_date(name: str, dtype: T.DataType) -> Column:
@@ -71,7 +71,7 @@ def _lenient_number(name: str, dtype: T.DataType) -> Column:
 def coerce_transactions(df: DataFrame) -> DataFrame:
     """Check required columns, then type dates strictly and numbers leniently.
 
-    Bad dates raise at execution; bad numbers and NaN become null. Other
+    Bad dates raise at execution; bad, NaN and infinite numbers become null. Other
     columns, including unknown extra ones, are passed through as they are.
     """
     check_columns(df)

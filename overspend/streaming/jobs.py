@@ -1,26 +1,56 @@
-"""Streaming jobs: spike verdicts per closed day, the incremental run over a
-landing folder, the alert sink, and a duplicate monitor built from batch
-operators per micro-batch.
+"""Streaming jobs: spike verdicts per closed day, the duplicate monitor, and
+the incremental run of all four rules with its alerts.
 
 Every ``foreachBatch`` writer is idempotent: output goes to a folder keyed by
 the batch id in overwrite mode, so a replayed micro-batch (after a failure)
-replaces its own output instead of duplicating it.  History and outputs live
+replaces its own output instead of duplicating it. A micro-batch is persisted
+while it is processed, so its source is read once. History and outputs live
 under folders the caller gives (shared storage on a cluster).
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DETECTION, DEFAULT_REPORT, DetectionParams, ReportParams
+from ..constants import RULE_SPIKE
 from ..operators import report as P
 from ..operators import rules as R
+from ..operators.detect import dedupe_flags, normalize_flags
 from ..operators.score import score_flags
 from .rules import stream_daily_counts, stream_row_flags
 
+LATENESS_DAYS = 2
+
+
+def _batch_dir(folder: str, batch_id: int) -> str:
+    return os.path.join(folder, f"batch_id={batch_id}")
+
+
+def _once(process: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A batch function whose source and stateful operators are evaluated once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            process(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
+def current_day(batch: DataFrame):
+    """The median date of a batch: a few rows with a date in the future don't move it."""
+    return batch.filter(F.col("date").isNotNull()).agg(
+        F.date_from_unix_date(F.percentile_approx(F.unix_date("date"), 0.5).cast("int"))
+    ).first()[0]
+
 
 def judge_days(spark: SparkSession, new_days: DataFrame, batch_id: int, history_dir: str, verdict_dir: str,
                p: DetectionParams = DEFAULT_DETECTION) -> None:
@@ -29,12 +59,12 @@ def judge_days(spark: SparkSession, new_days: DataFrame, batch_id: int, history_
     The baseline of a new day uses the previous ``rolling_window`` observed
     days of the whole history (one row per day, so this stays small).
     """
-    new_days.write.mode("overwrite").parquet(os.path.join(history_dir, f"batch_id={batch_id}"))
+    new_days.write.mode("overwrite").parquet(_batch_dir(history_dir, batch_id))
     history = spark.read.parquet(history_dir)
     verdicts = R.volume_baseline_from(history.select("date", "daily_count"), p).join(
         new_days.select("date"), "date", "left_semi"
     )
-    verdicts.write.mode("overwrite").parquet(os.path.join(verdict_dir, f"batch_id={batch_id}"))
+    verdicts.write.mode("overwrite").parquet(_batch_dir(verdict_dir, batch_id))
 
 
 def start_spike_monitor(stream: DataFrame, history_dir: str, verdict_dir: str, checkpoint: str,
@@ -45,99 +75,173 @@ def start_spike_monitor(stream: DataFrame, history_dir: str, verdict_dir: str, c
         stream_daily_counts(stream, lateness)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, bid: judge_days(spark, df, bid, history_dir, verdict_dir, p))
+        .foreachBatch(_once(lambda df, bid: judge_days(spark, df, bid, history_dir, verdict_dir, p)))
     )
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_incremental(spark: SparkSession, landing_dir: str, schema, out_dir: str, checkpoint: str,
-                    p: DetectionParams = DEFAULT_DETECTION) -> None:
-    """R4: one exactly-once pass over files not yet processed.
+STATE_SCHEMA = "supplier_id string, _amount_key double, date date, transaction_id string, _c long"
+
 
-    Reads the landing folder as a stream, flags price and SLA hits, appends
-    them to ``out_dir`` and stops when the backlog is done; the checkpoint
-    remembers which files were processed, so calling this daily processes
-    each file once.
+def flag_duplicates_batch(batch: DataFrame, batch_id: int, state_dir: str, window_days: int, horizon_days: int) -> DataFrame:
+    """Rule 1 on one micro-batch against the stored recent day groups; writes the next state.
+
+    The state has, for each (supplier, amount key, day), the smallest id and
+    its row count. The batch is counted per (key, day, id) with map-side
+    partial aggregation and merged with it; a row's id is flagged if the key
+    has an earlier day within ``window_days``, or if the day's first id is
+    another one or is there again. All rows of the batch with a flagged id are
+    returned. On date-ordered input this is the batch rule; verdicts already
+    given are not revised.
+
+    State version ``batch_id`` keeps the days from ``horizon_days`` before the
+    batch's median date on, and reads version ``batch_id - 1``, so a replayed
+    batch gives the same. Wrongly dated rows can't move the median and cannot
+    make the state go.
     """
-    stream = spark.readStream.schema(schema).parquet(landing_dir)
-    query = (
-        stream_row_flags(stream, p)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out_dir)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    spark = batch.sparkSession
+    new = R._keyed(batch).groupBy(*R.KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"))
+    known = new
+    if batch_id > 0:
+        known = spark.read.schema(STATE_SCHEMA).parquet(_batch_dir(state_dir, batch_id - 1)).unionByName(new)
+    firsts = (
+        known.groupBy(*R.KEY, "transaction_id")
+        .agg(F.sum("_c").alias("_c"))
+        .groupBy(*R.KEY)
+        .agg(F.min(F.struct("transaction_id", "_c")).alias("_first"))
     )
-    query.awaitTermination()
+    w = Window.partitionBy("supplier_id", "_amount_key").orderBy("date")
+    gap = F.datediff(F.col("date"), F.lag("date").over(w))
+    days = firsts.withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
+    again = ~F.col("_first.transaction_id").eqNullSafe(F.col("transaction_id")) | (F.col("_first._c") > 1)
+    hit = F.col("_first_hit") | (again if window_days >= 0 else F.lit(False))
+    ids = new.join(days, R.KEY).filter(hit).select(F.col("transaction_id").alias("_flagged_id")).distinct()
+    today = current_day(batch)
+    keep = days if today is None else days.filter(F.col("date") >= F.date_sub(F.lit(today), horizon_days))
+    keep.select(*R.KEY, F.col("_first.transaction_id").alias("transaction_id"), F.col("_first._c").alias("_c")).write.mode(
+        "overwrite"
+    ).parquet(_batch_dir(state_dir, batch_id))
+    return R.duplicate_flags(R.with_ids(batch, ids), window_days)
+
+
+def _checked_horizon(window_days: int, horizon_days: int | None, lateness_days: int) -> int:
+    least = max(0, window_days) + lateness_days
+    if horizon_days is None:
+        return least
+    if horizon_days < least:
+        raise ValueError(f"horizon_days must be at least window_days + lateness_days = {least}")
+    return horizon_days
 
 
-def write_alerts(batch: DataFrame, batch_id: int, alert_dir: str, p: DetectionParams = DEFAULT_DETECTION,
-                 rp: ReportParams = DEFAULT_REPORT) -> None:
-    """Score the batch's row-rule hits and write its alert digest (if any)."""
-    scored = score_flags(stream_row_flags(batch, p))
-    digest = P.alert_payload(P.alert_digest(P.executive_summary(batch, scored), scored, rp)).withColumn(
-        "batch_id", F.lit(batch_id)
-    )
-    digest.write.mode("overwrite").parquet(os.path.join(alert_dir, f"batch_id={batch_id}"))
+def start_duplicate_monitor(stream: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
+                            window_days: int = DEFAULT_DETECTION.window_days, horizon_days: int | None = None,
+                            lateness_days: int = LATENESS_DAYS, trigger: dict | None = None):
+    """R2: the duplicate rule with batch operators per micro-batch, so no key meets whole in one task.
 
+    ``horizon_days`` (at least window + lateness, which is the default) is how
+    far behind a batch's median date rows may come and still be compared.
+    """
+    horizon = _checked_horizon(window_days, horizon_days, lateness_days)
 
-def start_alert_sink(stream: DataFrame, alert_dir: str, checkpoint: str, p: DetectionParams = DEFAULT_DETECTION,
-                     rp: ReportParams = DEFAULT_REPORT, trigger: dict | None = None):
-    """R5: alert digests of every micro-batch into an alert table."""
-    writer = (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, bid: write_alerts(df, bid, alert_dir, p, rp))
-    )
+    def process(batch: DataFrame, batch_id: int) -> None:
+        flags = flag_duplicates_batch(batch, batch_id, state_dir, window_days, horizon)
+        flags.write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id))
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_once(process))
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-STATE_SCHEMA = "supplier_id string, _amount_key double, date date, _first_id string"
+def spike_flags_of_closed_days(spark: SparkSession, out_dir: str, batch_id: int, before, p: DetectionParams, schema) -> DataFrame:
+    """Rule 4 for the days that closed with this batch: flags of all their stored rows.
+
+    A day closes when it lies before ``before`` (None: all days close). Each
+    day is judged once, against the stored daily counts of all batches.
+    """
+    def table(name: str) -> str:
+        return os.path.join(out_dir, name)
+
+    counts = spark.read.parquet(table("days")).groupBy("date").agg(F.sum("daily_count").alias("daily_count"))
+    verdicts = R.volume_baseline_from(counts, p)
+    closed = verdicts if before is None else verdicts.filter(F.col("date") < F.lit(before))
+    if batch_id != 0:
+        old = spark.read.schema("date date, is_spike boolean, batch_id int").parquet(table("judged"))
+        closed = closed.join(old.filter(F.col("batch_id") != batch_id).select("date"), "date", "left_anti")
+    closed.select("date", "is_spike").write.mode("overwrite").parquet(_batch_dir(table("judged"), batch_id))
+    judged = spark.read.parquet(_batch_dir(table("judged"), batch_id)).filter("is_spike").select("date")
+    spikes = verdicts.join(judged, "date", "left_semi").select("date", "daily_count", "rolling_mean", "rolling_std")
+    rows = spark.read.schema(schema).parquet(table("transactions"))
+    # at most one row per calendar day
+    return rows.join(F.broadcast(spikes), "date").select(
+        *rows.columns,
+        "daily_count",
+        "rolling_mean",
+        "rolling_std",
+        F.lit(RULE_SPIKE).alias("rule_triggered"),
+        R.spike_detail(p.spike_sigma).alias("rule_detail"),
+        F.lit(0.0).alias("leakage_amount_gbp"),
+    )
 
 
-def flag_duplicates_batch(batch: DataFrame, batch_id: int, state_dir: str, out_dir: str,
-                          window_days: int = DEFAULT_DETECTION.window_days, horizon_days: int = 7) -> None:
-    """Rule 1 on one micro-batch against the stored recent day groups.
+def detect_batch(batch: DataFrame, batch_id: int, out_dir: str, p: DetectionParams = DEFAULT_DETECTION,
+                 rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS) -> None:
+    """All four rules on one micro-batch: its flags and its alert digest.
 
-    The batch's rows are aggregated per (supplier, amount key, day) — map-side
-    partial aggregation, so a hot key never lands whole in one task — and
-    merged with the state of earlier batches (the first id of every recent day
-    group).  A row is flagged when its day group's first id is smaller than
-    its own, or the key's previous day lies within ``window_days``: the batch
-    rule, over everything seen so far.  State version ``batch_id`` keeps days
-    within ``horizon_days`` (≥ window + lateness) of the newest day.
+    Tables under ``out_dir``, one folder per batch in each: transactions (what
+    came), days (counts), duplicates (state), judged (closed days), flags, alerts.
     """
     spark = batch.sparkSession
     cols = batch.columns
-    keyed = R._keyed(batch)
-    new_days = keyed.groupBy(*R.KEY).agg(F.min("transaction_id").alias("_first_id"))
-    days = new_days
-    if batch_id > 0:
-        prev = spark.read.schema(STATE_SCHEMA).parquet(os.path.join(state_dir, f"batch_id={batch_id - 1}"))
-        days = prev.unionByName(new_days).groupBy(*R.KEY).agg(F.min("_first_id").alias("_first_id"))
-    w = Window.partitionBy("supplier_id", "_amount_key").orderBy("date")
-    gap = F.datediff(F.col("date"), F.lag("date").over(w))
-    days = days.withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
-    flagged = keyed.join(days, R.KEY).filter(R.duplicate_hit(window_days)).select(
-        *cols,
-        F.lit("duplicate").alias("rule_triggered"),
-        R.duplicate_detail(window_days).alias("rule_detail"),
-        F.col("invoice_amount").alias("leakage_amount_gbp"),
-    )
-    flagged.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
-    newest = days.agg(F.max("date")).first()[0]  # one scalar
-    keep = days if newest is None else days.filter(F.col("date") >= F.date_sub(F.lit(newest), horizon_days))
-    keep.select("supplier_id", "_amount_key", "date", "_first_id").write.mode("overwrite").parquet(
-        os.path.join(state_dir, f"batch_id={batch_id}")
-    )
-
-
-def start_duplicate_monitor(stream: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
-                            window_days: int = DEFAULT_DETECTION.window_days, horizon_days: int = 7,
-                            trigger: dict | None = None):
-    """R2 with batch operators per micro-batch (skew-safe alternative to the
-    keyed stateful operator in ``streaming.rules.stream_duplicates``)."""
+    batch.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "transactions"), batch_id))
+    R.daily_counts(batch).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "days"), batch_id))
+    horizon = _checked_horizon(p.window_days, None, lateness_days)
+    duplicates = flag_duplicates_batch(batch, batch_id, os.path.join(out_dir, "duplicates"), p.window_days, horizon)
+    today = current_day(batch)
+    flags = [stream_row_flags(batch, p), duplicates]
+    if today is not None:
+        before = spark.range(1).select(F.date_sub(F.lit(today), lateness_days)).first()[0]
+        flags.append(spike_flags_of_closed_days(spark, out_dir, batch_id, before, p, batch.schema))
+    _write_flags(batch, flags, cols, out_dir, batch_id, rp)
+
+
+def _write_flags(tx: DataFrame, flags: list[DataFrame], cols: list[str], out_dir: str, batch_id: int, rp: ReportParams) -> None:
+    every = normalize_flags(flags[0], cols)
+    for f in flags[1:]:
+        every = every.unionByName(normalize_flags(f, cols), allowMissingColumns=True)
+    path = _batch_dir(os.path.join(out_dir, "flags"), batch_id)
+    dedupe_flags(every).write.mode("overwrite").parquet(path)
+    scored = score_flags(tx.sparkSession.read.parquet(path))
+    digest = P.alert_payload(P.alert_digest(P.executive_summary(tx, scored), scored, rp))
+    digest.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "alerts"), batch_id))
+
+
+def start_detection(stream: DataFrame, out_dir: str, checkpoint: str, p: DetectionParams = DEFAULT_DETECTION,
+                    rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS, trigger: dict | None = None):
+    """R4, R5: all four rules and the alert digest on every micro-batch."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: flag_duplicates_batch(df, bid, state_dir, out_dir, window_days, horizon_days)
+        _once(lambda df, bid: detect_batch(df, bid, out_dir, p, rp, lateness_days))
     )
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def run_incremental(spark: SparkSession, landing_dir: str, schema, out_dir: str, checkpoint: str,
+                    p: DetectionParams = DEFAULT_DETECTION, rp: ReportParams = DEFAULT_REPORT,
+                    lateness_days: int = LATENESS_DAYS, files_per_batch: int | None = None) -> None:
+    """R4: one exactly-once pass of all four rules over files not yet processed.
+
+    The checkpoint remembers which files were processed, so calling this daily
+    processes each file once. Days that may still get rows stay open;
+    :func:`close_days` judges them at the end of a period.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    start_detection(reader.parquet(landing_dir), out_dir, checkpoint, p, rp, lateness_days).awaitTermination()
+
+
+def close_days(spark: SparkSession, out_dir: str, schema, p: DetectionParams = DEFAULT_DETECTION, rp: ReportParams = DEFAULT_REPORT) -> None:
+    """Judge the days that are still open; its flags and alerts have a batch id of their own, below zero."""
+    last = spark.read.parquet(os.path.join(out_dir, "days")).agg(F.max("batch_id")).first()[0]
+    batch_id = -1 - last
+    spikes = spike_flags_of_closed_days(spark, out_dir, batch_id, None, p, schema)
+    tx = spark.read.schema(schema).parquet(os.path.join(out_dir, "transactions")).limit(0)
+    _write_flags(tx, [spikes], [f.name for f in schema.fields], out_dir, batch_id, rp)

@@ -1,41 +1,32 @@
-"""Structured Streaming versions of the rules.
+"""Structured Streaming versions of the row rules and the daily counts.
 
 * ``stream_row_flags`` (price + SLA): stateless, the batch expressions applied
   to every micro-batch row.
-* ``stream_duplicates``: the duplicate rule as a keyed stateful operator
-  (``applyInPandasWithState``) over (supplier, rounded amount).  The state of
-  a key is the first id of each recent day — at most ``window_days`` +
-  lateness days — and expires through an event-time timeout.  With input in
-  date order the verdicts equal the batch rule; a late row (within the
-  watermark) is judged on arrival against everything seen so far, and
-  verdicts already emitted are not revised.
 * ``stream_daily_counts``: watermarked tumbling one-day counts; a day is
   emitted once its window closes (append mode).
+
+Duplicates need the earlier days of a key, and spikes whole days: see
+``streaming.jobs``, which runs the batch operators on every micro-batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import DEFAULT_DETECTION, DetectionParams
-from ..constants import RULE_DUPLICATE, RULE_PRICE, RULE_SLA
-from ..functions.numeric import array_round
+from ..constants import RULE_PRICE, RULE_SLA
 from ..operators import rules as R
 from ..operators.detect import _explode_hits, _hit
 
-DAY_MS = 86_400_000
+DAY_S = 86_400
 
 
 def event_time(stream: DataFrame, lateness: str) -> DataFrame:
-    """Day-grained event time from ``date`` with a watermark."""
-    return stream.withColumn("_event_ts", F.col("date").cast("timestamp")).withWatermark("_event_ts", lateness)
+    """Day-grained event time from ``date`` with a watermark: midnight UTC of
+    the date, whatever the session time zone."""
+    at = F.timestamp_seconds(F.unix_date("date") * DAY_S)
+    return stream.withColumn("_event_ts", at).withWatermark("_event_ts", lateness)
 
 
 def stream_row_flags(stream: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
@@ -49,77 +40,16 @@ def stream_row_flags(stream: DataFrame, p: DetectionParams = DEFAULT_DETECTION)
     return _explode_hits(stream, cols, hits)
 
 
-def _dedup_state_fn(window_days: int, out_cols: list[str]):
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known_days: list[int] = []
-        known_ids: list[str] = []
-        if state.exists:
-            known_days, known_ids = list(state.get[0]), list(state.get[1])
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if batch.empty:
-            return
-        day = (pd.to_datetime(batch["date"]).values.astype("datetime64[D]").astype(np.int64))
-        batch = batch.assign(_day=day)
-        # known days enter as their first row; new rows are judged by the gap
-        # to the previous row in (day, id) order over known + new rows
-        seen = pd.DataFrame({"_day": np.asarray(known_days, dtype=np.int64), "transaction_id": known_ids, "_new": False})
-        new = batch[["_day", "transaction_id"]].assign(_new=True, _pos=np.arange(len(batch)))
-        allrows = pd.concat([seen.assign(_pos=-1), new], ignore_index=True).sort_values(
-            ["_day", "transaction_id"], kind="mergesort"
-        )
-        gap = allrows["_day"].diff()
-        hit = allrows["_new"] & gap.notna() & (gap <= window_days) & (window_days >= 0)
-        flagged_pos = allrows.loc[hit, "_pos"].to_numpy()
-        firsts = allrows.groupby("_day", sort=True)["transaction_id"].min()
-        # keep only days that can still precede a row inside the watermark
-        wm = state.getCurrentWatermarkMs()
-        horizon = (wm // DAY_MS) - window_days if wm > 0 else None
-        if horizon is not None:
-            firsts = firsts[firsts.index >= horizon]
-        state.update((firsts.index.astype(int).tolist(), firsts.astype(str).tolist()))
-        expiry = int((int(firsts.index.max()) + window_days + 1) * DAY_MS) if len(firsts) else 0
-        state.setTimeoutTimestamp(max(expiry, wm + DAY_MS))
-        out = batch.iloc[np.sort(flagged_pos)] if len(flagged_pos) else batch.iloc[0:0]
-        yield out[out_cols]
-
-    return fn
-
-
-def stream_duplicates(
-    stream: DataFrame, window_days: int = DEFAULT_DETECTION.window_days, lateness: str = "2 days"
-) -> DataFrame:
-    """Duplicate flags of a transaction stream (R2)."""
-    cols = stream.columns
-    keyed = event_time(stream, lateness).withColumn("_amount_key", array_round("invoice_amount", 0)).filter(
-        F.col("supplier_id").isNotNull() & F.col("_amount_key").isNotNull() & F.col("date").isNotNull()
-    )
-    out_schema = T.StructType([f for f in stream.schema.fields])
-    state_schema = T.StructType(
-        [T.StructField("days", T.ArrayType(T.LongType())), T.StructField("first_ids", T.ArrayType(T.StringType()))]
-    )
-    flagged = keyed.groupBy("supplier_id", "_amount_key").applyInPandasWithState(
-        _dedup_state_fn(window_days, cols),
-        outputStructType=out_schema,
-        stateStructType=state_schema,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
-    )
-    return flagged.select(
-        *cols,
-        F.lit(RULE_DUPLICATE).alias("rule_triggered"),
-        R.duplicate_detail(window_days).alias("rule_detail"),
-        F.col("invoice_amount").alias("leakage_amount_gbp"),
-    )
-
-
 def stream_daily_counts(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Transactions per day, emitted when the day's window closes (R3)."""
+    """Transactions per day, emitted when the day's window closes (R3).
+
+    Windows of one day begin at midnight UTC, as the event times do, so the
+    date that goes in is the date that comes out in every time zone.
+    """
+    day = F.date_from_unix_date((F.unix_seconds(F.col("window.start")) / DAY_S).cast("int"))
     return (
         event_time(stream, lateness)
         .groupBy(F.window("_event_ts", "1 day"))
         .agg(F.count(F.lit(1)).alias("daily_count"))
-        .select(F.to_date(F.col("window.start")).alias("date"), "daily_count")
+        .select(day.alias("date"), "daily_count")
     )

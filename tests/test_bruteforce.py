@@ -60,6 +60,51 @@ def test_duplicates_equal_brute_force(make_tx, seed, window_days):
     from overspend.config import DetectionParams
 
     p = DetectionParams(window_days=window_days)
-    for limit in (500_000, 0):
-        flags = D.all_flags(tx, p, unique_ids=True, broadcast_max_rows=limit)
-        assert ids(flags.filter("rule_triggered = 'duplicate'")) == want
+    assert ids(D.all_flags(tx, p).filter("rule_triggered = 'duplicate'")) == want
+
+
+def flagged_ids(rows, window_days):
+    """The ids that the rule flags: pairs of rows in (date, id) order, nulls first."""
+    groups: dict = {}
+    for r in rows:
+        if r["supplier_id"] is not None and r["invoice_amount"] is not None and r["date"] is not None:
+            groups.setdefault((r["supplier_id"], float(np.rint(r["invoice_amount"]))), []).append(r)
+    flagged = set()
+    for members in groups.values():
+        members.sort(key=lambda r: (r["date"], r["transaction_id"] is not None, r["transaction_id"] or ""))
+        for j, later in enumerate(members):
+            if any(abs((later["date"] - m["date"]).days) <= window_days for m in members[:j]):
+                flagged.add(later["transaction_id"])
+    return flagged
+
+
+@pytest.mark.parametrize("seed,window_days", [(1, 1), (2, 0), (3, 3)])
+def test_repeated_ids_equal_brute_force(make_tx, seed, window_days):
+    """Ids that repeat (some null): every row of a flagged id is flagged, one is kept."""
+    rnd = random.Random(seed)
+    rows = [dict(r, transaction_id=rnd.choice([None, *(f"R{k:02d}" for k in range(40))])) for r in random_rows(seed, 100)]
+    want = flagged_ids(rows, window_days)
+    tx = make_tx(rows)
+    every = sorted(str(r["transaction_id"]) for r in rows if r["transaction_id"] in want)
+    for rule in (R.detect_duplicates, R.detect_duplicates_pairwise):
+        assert sorted(str(r["transaction_id"]) for r in rule(tx, window_days).collect()) == every
+    from overspend.config import DetectionParams
+
+    p = DetectionParams(window_days=window_days)
+    for plan in (D.all_flags, D.all_flags_union):
+        kept = plan(tx, p).filter("rule_triggered = 'duplicate'").collect()
+        assert sorted(str(r["transaction_id"]) for r in kept) == sorted(map(str, want))
+        by_id = {r["transaction_id"]: r for r in kept}
+        for i in want:  # the earliest row stays
+            dates = [r["date"] for r in rows if r["transaction_id"] == i and r["date"] is not None]
+            assert by_id[i]["date"] == min(dates)
+
+
+def test_the_same_row_twice(make_tx):
+    same = base_row(transaction_id="T9")
+    next_day = dict(same, date=same["date"] + dt.timedelta(days=1))
+    nameless = dict(same, transaction_id=None)
+    for rows, rule_rows, kept in (([same, same], 2, 1), ([same, next_day], 2, 1), ([nameless, nameless, same], 3, 2)):
+        tx = make_tx(rows)
+        assert R.detect_duplicates(tx).count() == R.detect_duplicates_pairwise(tx).count() == rule_rows
+        assert D.all_flags(tx).filter("rule_triggered = 'duplicate'").count() == kept

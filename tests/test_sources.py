@@ -10,8 +10,11 @@ import tempfile
 import pytest
 from conftest import SF_SMALL, base_row
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from overspend.config import ReportParams
 from overspend.operators import detect as D
+from overspend.operators import report as P
 from overspend.operators.score import score_flags
 from overspend.sources.fixtures import fixture_transactions
 from overspend.sources.sinks import write_csv, write_partitioned, write_report
@@ -56,6 +59,48 @@ def test_bad_number_becomes_null_extra_column_passes(spark):
     assert rows["T1"]["extra_col"] == "x"
 
 
+def test_infinite_amounts_are_no_amounts(spark):
+    path = _csv(tempfile.mkdtemp(), HEADER, ["T1,2024-01-01,S1,N,C,inf,-Infinity,2024-01-02,2024-01-03,x"])
+    row = read_transactions(spark, path).first()
+    assert row["invoice_amount"] is None and row["baseline_rate"] is None
+
+
+def test_a_busy_day_is_split_into_files(spark):
+    """One date, several tasks and files; and the CSV is ordered by (date, id)."""
+    base = tempfile.mkdtemp(prefix="overspend-busy-")
+    day = spark.range(300_000).select(F.lit("2023-02-03").cast("date").alias("date"), F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_partitioned(day, os.path.join(base, "tx"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(os.path.join(base, "tx", "date=2023-02-03")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    tx = fixture_transactions(spark, SF_SMALL).select("transaction_id", "date")
+    write_csv(tx, os.path.join(base, "csv"))
+    lines = []
+    for f in sorted(f for f in os.listdir(os.path.join(base, "csv")) if f.endswith(".csv")):
+        lines += [tuple(x.strip().split(",")[::-1]) for x in open(os.path.join(base, "csv", f)).readlines()[1:]]
+    assert len(lines) == tx.count() and lines == sorted(lines)
+
+
+def test_report_tables_hold_their_operators(spark):
+    tx = fixture_transactions(spark, SF_SMALL)
+    scored = score_flags(D.all_flags(tx))
+    base = tempfile.mkdtemp(prefix="overspend-report-")
+    written = write_report(tx, scored, base, ReportParams(detail_limit=25))
+
+    def rows(df):
+        return sorted(str(r) for r in df.collect())
+
+    assert rows(spark.read.parquet(written["summary/rule_share"])) == rows(P.rule_share(scored))
+    assert rows(spark.read.parquet(written["statistics/daily_trend"])) == rows(P.daily_trend(scored))
+    detail = spark.read.parquet(written["flagged/flagged_items"])
+    assert detail.count() == 25 and rows(detail) == rows(P.flagged_items(scored, 25))
+    assert not scored.is_cached
+
+
 def test_bad_date_is_an_error(spark):
     path = _csv(tempfile.mkdtemp(), HEADER, ["T1,not-a-date,S1,N,C,100,100,2024-01-02,2024-01-03,x"])
     with pytest.raises(Exception, match="unparseable date"):
@@ -77,7 +122,7 @@ def test_partitioned_sink_and_report(spark):
     base = tempfile.mkdtemp(prefix="overspend-sink-")
     write_partitioned(tx.select("transaction_id", "date", "invoice_amount"), os.path.join(base, "tx"))
     assert spark.read.parquet(os.path.join(base, "tx")).count() == 6142
-    scored = score_flags(D.all_flags(tx, unique_ids=True))
+    scored = score_flags(D.all_flags(tx))
     written = write_report(tx, scored, os.path.join(base, "report"))
     assert set(written) >= {"summary/executive_summary", "flagged/flagged_items", "statistics/daily_trend"}
     assert spark.read.parquet(written["flagged/flagged_items"]).count() == scored.count()
@@ -94,4 +139,4 @@ def test_materialized_table_gives_same_flags(spark):
     def rows(df):
         return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
 
-    assert rows(D.all_flags(back.select(*tx.columns), unique_ids=True)) == rows(D.all_flags(tx, unique_ids=True))
+    assert rows(D.all_flags(back.select(*tx.columns))) == rows(D.all_flags(tx))

@@ -3,19 +3,22 @@ order as a sequence of files."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_SMALL, base_row
 
 from overspend.operators import rules as R
 from overspend.sources.fixtures import fixture_transactions
 from overspend.sources.transactions import TRANSACTION_SCHEMA
-from overspend.streaming.jobs import run_incremental, start_alert_sink, start_spike_monitor
-from overspend.streaming.rules import stream_duplicates, stream_row_flags
+from overspend.operators.detect import all_flags
+from overspend.operators.score import score_flags
+from overspend.streaming.jobs import close_days, flag_duplicates_batch, run_incremental, start_duplicate_monitor, start_spike_monitor
+from overspend.streaming.rules import stream_daily_counts, stream_row_flags
 
 
 @pytest.fixture(scope="module")
@@ -45,21 +48,30 @@ def _memory(df, name):
     return df.sparkSession.table(name)
 
 
+def _pairs(df):
+    return sorted((str(r[0]), r[1]) for r in df.select("transaction_id", "rule_triggered").collect())
+
+
 def test_stream_row_flags_equal_batch(spark, landing):
     tx, folder = landing
     got = _memory(stream_row_flags(_stream(spark, folder)), "row_flags")
-    want = R.detect_price_variance(tx).count() + R.detect_sla_breaches(tx).count()
-    assert got.count() == want
-    assert got.filter("rule_triggered = 'price_variance'").count() == 764
+    want = all_flags(tx).filter("rule_triggered IN ('price_variance', 'sla_breach')")
+    cols = ["transaction_id", "rule_triggered", "rule_detail", "leakage_amount_gbp", "breach_days"]
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
 
 
-def test_stream_duplicates_equal_batch_on_ordered_input(spark, landing):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_daily_counts_in_any_time_zone(spark, landing, zone):
     tx, folder = landing
-    got = _memory(stream_duplicates(_stream(spark, folder), 1, "2 days"), "dups")
-    assert sorted(r[0] for r in got.select("transaction_id").collect()) == sorted(
-        r[0] for r in R.detect_duplicates(tx).select("transaction_id").collect()
-    )
-    assert got.count() == 142
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r["date"]: r["daily_count"] for r in _memory(stream_daily_counts(_stream(spark, folder)), f"days_{zone[:3]}").collect()}
+        want = {r["date"]: r["daily_count"] for r in R.daily_counts(tx).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(got) >= len(want) - 3  # the last days stay open under the watermark
+    assert all(want[d] == n for d, n in got.items())
 
 
 def test_spike_monitor_judges_closed_days(spark, landing):
@@ -75,42 +87,76 @@ def test_spike_monitor_judges_closed_days(spark, landing):
     assert all(batch[r["date"]] == r["is_spike"] for r in rows)
 
 
-def test_incremental_run_processes_each_file_once(spark, landing):
+def test_incremental_run_equals_batch(spark, landing):
+    """All four rules over ordered files: the union of the batches is the flag table, and so are the alerts."""
+    import json
+
     tx, folder = landing
     base = tempfile.mkdtemp(prefix="overspend-incr-")
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
-    run_incremental(spark, folder, TRANSACTION_SCHEMA, out, ckpt)
-    first = spark.read.parquet(out).count()
+    run_incremental(spark, folder, TRANSACTION_SCHEMA, out, ckpt, files_per_batch=10)
+    close_days(spark, out, TRANSACTION_SCHEMA)
+    got = spark.read.parquet(os.path.join(out, "flags"))
+    assert _pairs(got) == _pairs(all_flags(tx))
     run_incremental(spark, folder, TRANSACTION_SCHEMA, out, ckpt)  # nothing new: no change
-    assert spark.read.parquet(out).count() == first == 764 + 2766
+    assert _pairs(spark.read.parquet(os.path.join(out, "flags"))) == _pairs(got)
+    alerts = spark.read.parquet(os.path.join(out, "alerts")).collect()
+    critical = score_flags(all_flags(tx)).filter("severity = 'Critical'").count()
+    assert sum(r["alert_count"] for r in alerts) == critical > 0
+    assert all(json.loads(r["payload"])["top_findings"] == r["top_findings"] for r in alerts)
+
 
+def _monitor(spark, folder, files=3, **options):
+    base = tempfile.mkdtemp(prefix="overspend-dupmon-")
+    start_duplicate_monitor(_stream(spark, folder, files), os.path.join(base, "state"), os.path.join(base, "out"),
+                            os.path.join(base, "ckpt"), **options).awaitTermination()
+    return sorted(r[0] for r in spark.read.parquet(os.path.join(base, "out")).select("transaction_id").collect())
 
-def test_alert_sink(spark, landing):
+
+def test_duplicate_monitor_equals_batch(spark, landing):
     tx, folder = landing
-    base = tempfile.mkdtemp(prefix="overspend-alerts-")
-    q = start_alert_sink(_stream(spark, folder, files=100), os.path.join(base, "alerts"), os.path.join(base, "ckpt"))
-    q.awaitTermination()
-    alerts = spark.read.parquet(os.path.join(base, "alerts")).collect()
-    assert len(alerts) == 1
-    assert alerts[0]["alert_severity"] == "Critical" and alerts[0]["alert_count"] > 0
-    assert alerts[0]["top_findings"].count("\n") == 2
-    import json
+    got = _monitor(spark, folder)
+    assert got == sorted(r[0] for r in R.detect_duplicates(tx).select("transaction_id").collect()) and len(got) == 142
 
-    payload = json.loads(alerts[0]["payload"])
-    assert payload["alert_count"] == alerts[0]["alert_count"] and payload["top_findings"] == alerts[0]["top_findings"]
 
+def _batches(spark, make_tx, batches, window_days=1, horizon_days=3):
+    state = tempfile.mkdtemp(prefix="overspend-state-")
+    return [
+        sorted(str(r[0]) for r in flag_duplicates_batch(make_tx(rows), k, state, window_days, horizon_days).select("transaction_id").collect())
+        for k, rows in enumerate(batches)
+    ]
 
-def test_duplicate_monitor_equals_batch(spark, landing):
-    from overspend.streaming.jobs import start_duplicate_monitor
 
-    tx, folder = landing
-    base = tempfile.mkdtemp(prefix="overspend-dupmon-")
-    q = start_duplicate_monitor(_stream(spark, folder, files=3), os.path.join(base, "state"),
-                                os.path.join(base, "out"), os.path.join(base, "ckpt"))
-    q.awaitTermination()
-    got = sorted(r[0] for r in spark.read.parquet(os.path.join(base, "out")).select("transaction_id").collect())
-    want = sorted(r[0] for r in R.detect_duplicates(tx).select("transaction_id").collect())
-    assert got == want and len(got) == 142
+def _row(i, day, **more):
+    return base_row(transaction_id=i, date=dt.date(2023, 5, 1) + dt.timedelta(days=day), **more)
+
+
+def test_monitor_keeps_its_state_beside_a_future_date(spark, make_tx):
+    first = [_row("A", 0), *[_row(f"x{k}", 0, invoice_amount=10.0 + k) for k in range(4)], _row("late", 27_000, supplier_id="Z")]
+    assert _batches(spark, make_tx, [first, [_row("B", 1)]]) == [[], ["B"]]
+
+
+def test_monitor_with_a_wide_window(spark, make_tx, landing):
+    batches = [[_row("A", 0)], [_row("q", 9, supplier_id="Z")], [_row("B", 10)]]
+    assert _batches(spark, make_tx, batches, window_days=10, horizon_days=12) == [[], [], ["B"]]
+    with pytest.raises(ValueError, match="window_days"):
+        start_duplicate_monitor(_stream(spark, landing[1]), "s", "o", "c", window_days=10, horizon_days=7)
+
+
+def test_monitor_replays_a_batch(spark, make_tx):
+    state = tempfile.mkdtemp(prefix="overspend-state-")
+    flag_duplicates_batch(make_tx([_row("A", 0)]), 0, state, 1, 3)
+    for _ in range(2):  # the same batch again: the same flags, the same state
+        got = flag_duplicates_batch(make_tx([_row("B", 1)]), 1, state, 1, 3)
+        assert [r["transaction_id"] for r in got.collect()] == ["B"]
+    assert spark.read.parquet(os.path.join(state, "batch_id=1")).count() == 2
+
+
+def test_monitor_with_repeated_ids_and_one_key(spark, make_tx):
+    assert _batches(spark, make_tx, [[_row("A", 0), _row("A", 0)], [_row("A", 0)], [_row("A", 1)]]) == [["A", "A"], ["A"], ["A"]]
+    hot = [_row(f"T{k:04d}", k // 100) for k in range(600)]  # every row has one key
+    got = _batches(spark, make_tx, [hot[:250], hot[250:]])
+    assert sorted(got[0] + got[1]) == sorted(r["transaction_id"] for r in hot[1:])
 
 
 def test_event_stream_duplicates_equal_batch(spark):
@@ -126,7 +172,6 @@ def test_event_stream_duplicates_equal_batch(spark):
         path = os.path.join(folder, f"part-{i:04d}.parquet")
         pq.write_table(pa.Table.from_pandas(pdf[pdf["date"] == day], schema=schema, preserve_index=False), path)
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
-    got = _memory(stream_duplicates(_stream(spark, folder, files=5), 1, "2 days"), "event_dups")
     want = sorted(r[0] for r in R.detect_duplicates(ev).select("transaction_id").collect())
-    assert sorted(r[0] for r in got.select("transaction_id").collect()) == want
+    assert _monitor(spark, folder, files=8) == want
     assert len(want) == 32
