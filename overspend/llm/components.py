@@ -12,26 +12,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable from each id that has an edge.
 
     ``edges`` has long columns a and b. Every round each id takes the smallest
-    label among itself and its neighbours, the root that a label stood for
-    takes it too, and labels are then followed to theirs; rounds grow with the
-    logarithm of the longest path, not with its length. Each round is a
-    written table. Rows with a null end are ignored; no edges, no rows.
+    label among its own and its neighbours', and then the label of the id that
+    this label names, so labels travel ever further in a round. A round is one
+    written table; the rounds end when no label moves. Rows with a null end or
+    two equal ends are ignored; no edges, no rows.
     """
     links = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     both = saved(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = saved(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("component"))
     while True:
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("near")).select(F.col("a").alias("id"), "near")
-        heard = labels.join(near, "id").select("id", "component", F.least("component", "near").alias("low"))
-        # hooking: the root of an id's tree moves below the smallest label that its members heard of
-        roots = heard.groupBy("component").agg(F.min("low").alias("root_low")).select(F.col("component").alias("id"), "root_low")
-        hooked = heard.join(roots, "id", "left").select("id", "component", F.least("low", F.coalesce("root_low", "low")).alias("low"))
-        hooked = saved(hooked, "labels")
-        up = hooked.select(F.col("id").alias("low"), F.col("low").alias("higher"))
-        new = saved(
-            hooked.join(up, "low", "left").select("id", "component", F.least("low", F.coalesce("higher", "low")).alias("low")), "labels"
-        )
-        moved = new.where(F.col("component") != F.col("low")).limit(1).count()
-        labels = new.select("id", F.col("low").alias("component"))
-        if not moved:
+        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        heard = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "component", F.least("component", "near").alias("low"))
+        named = labels.select(F.col("id").alias("low"), F.col("component").alias("lower"))
+        moved = saved(heard.join(named, "low").select("id", F.col("component").alias("before"), F.least("low", "lower").alias("component")), "labels")
+        labels = moved.select("id", "component")
+        if moved.where("before <> component").isEmpty():
             return labels

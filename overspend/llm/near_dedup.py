@@ -224,7 +224,8 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
             return
         new = saved(_linked(pairs, docs, s), "tested")
         tested = new if tested is None else tested.unionByName(new)
-        components = connected_components(tested.where("linked"))
+        if not new.where("linked").isEmpty():
+            components = connected_components(tested.where("linked"))
 
     above, larger = 0, None
     for depth in s.depths:
@@ -237,8 +238,8 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         # each member against the smallest one of its node; the likeliest candidate of each document goes first
         stars = level.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
         stars = saved(_similar(stars, reps, s), "stars")
-        test(stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
-        test(stars)
+        if larger is None:
+            test(stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
 
         apart = with_component(level, "rep").select("node", "rep", "size", F.col("c_rep").alias("c"))
         mixed = apart.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("node")
@@ -247,7 +248,7 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         few = apart if last else apart.where(F.col("size") <= s.small)
         other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
         pairs = few.join(other, "node").where((F.col("c") != F.col("c_b")) & (F.col("rep") < F.col("b"))).select(F.col("rep").alias("a"), "b").distinct()
-        test(_similar(pairs, reps, s))
+        test(stars.select("a", "b").unionByName(_similar(pairs, reps, s).select("a", "b")))
         larger = apart.where(F.col("size") > s.small).select("node", "rep")
         if last or larger.isEmpty():
             return components
