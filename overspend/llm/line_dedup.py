@@ -208,11 +208,13 @@ class LineIndex:
 
 def build(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> LineIndex:
     """The index of a first batch of documents."""
-    return _build(_lines(docs, min_chars), min_docs, min_chars)
+    index = _build(_lines(docs, min_chars), min_docs, min_chars)
+    return replace(index, holders=saved(index.holders, "line-holders"), filters=saved(index.filters, "line-filters"))
 
 
 def _build(lines: DataFrame, min_docs: int, min_chars: int) -> LineIndex:
-    holders = saved(lines.select("k1", "k2", "doc_id").distinct(), "line-holders")
+    """The index with only its counts written; the rest is computed where it is used."""
+    holders = lines.select("k1", "k2", "doc_id").distinct()
     crowded = saved(_crowded(holders, min_docs), "line-counts")
     shards = 1 + crowded.count() // KEYS_PER_SHARD
 
@@ -223,7 +225,7 @@ def _build(lines: DataFrame, min_docs: int, min_chars: int) -> LineIndex:
         return pd.DataFrame({"shard": frame["shard"].iloc[:1].to_numpy(), "cells": [cells], "stash": [stash]})
 
     by_shard = crowded.withColumn("shard", F.pmod(F.col("k1"), F.lit(shards)).cast("int")).groupBy("shard")
-    filters = saved(by_shard.applyInPandas(fill, "shard int, cells binary, stash binary"), "line-filters")
+    filters = by_shard.applyInPandas(fill, "shard int, cells binary, stash binary")
     return LineIndex(holders, crowded, filters, shards, min_docs, min_chars)
 
 
