@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -35,7 +36,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="overspend-bench")
+    shared = tempfile.TemporaryDirectory(prefix="overspend-bench-")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="overspend-bench", checkpoint_dir=shared.name)
     spark.sparkContext.setLogLevel("ERROR")
     results = {}
     for name in names:

@@ -6,6 +6,7 @@ number of partitions. Nothing is collected to the driver.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ def is_coarse(df: DataFrame) -> bool:
     """
     try:
         return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 — no RDD access (e.g. a Spark Connect client): never spread
+    except (PySparkException, AttributeError):  # no RDD access (a Spark Connect client): never spread
         return False
 
 

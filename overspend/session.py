@@ -13,10 +13,26 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "overspend") -> SparkSession:
-    """A local session configured like the tests and the bench."""
+_SCRATCH: tempfile.TemporaryDirectory | None = None
+
+
+def _scratch() -> str:
+    """A folder of this process, removed when it ends: for local sessions only."""
+    global _SCRATCH
+    if _SCRATCH is None:
+        _SCRATCH = tempfile.TemporaryDirectory(prefix="overspend-ckpt-")
+    return _SCRATCH.name
+
+
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "overspend", checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A local session configured like the tests and the bench; ``checkpoint_dir`` becomes ``spark.checkpoint.dir``."""
+    builder = SparkSession.builder
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -37,8 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only in local mode.
 
     Order: the SparkContext's current folder, then ``spark.checkpoint.dir``
-    from the session config; a local-mode session without either gets a new
-    scratch folder. A cluster session without a configured folder is an error:
+    from the session config; a local-mode session without either gets a
+    scratch folder that goes with the process. A cluster session without a configured folder is an error:
     a machine-local folder would not survive the loss of an executor.
     """
     try:
@@ -53,7 +69,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="overspend-ckpt-"))
+        sc.setCheckpointDir(_scratch())
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; configure a shared folder (HDFS/S3/ABFS) "

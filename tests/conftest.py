@@ -16,8 +16,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session("*", shuffle_partitions=8, app="overspend-tests")
+def spark(tmp_path_factory):
+    s = local_session("*", shuffle_partitions=8, app="overspend-tests", checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
