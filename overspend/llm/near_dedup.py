@@ -6,9 +6,10 @@ or two coordinates of a minwise signature are selected by a hash of the node,
 and each of their values is a child. Pairs above the similarity survive each
 level with an expected count of at least one, others die out.
 
-Nodes are then compared: small ones exhaustively, as far as their members are
-not connected yet; large ones against their smallest member, and their
-unconnected rest is branched deeper. Every link is confirmed on full sets.
+Nodes are then compared: every member with the smallest one, and, where few
+members are left outside the largest component, these with all others. Nodes
+with many such members are branched deeper. Every link is confirmed on full
+sets.
 """
 
 from __future__ import annotations
@@ -41,14 +42,14 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 @dataclass(frozen=True)
 class Settings:
     """words: shingle length; percent: least similarity; trees: independent repetitions;
-    depths: levels after which nodes are compared; small: largest node compared exhaustively;
+    depths: levels after which nodes are compared; small: most members outside a node's largest component that are compared with all others;
     estimate: least share of equal coordinates of a candidate (of 64; a pair at 75 % misses 45 % once in 10 million)."""
 
     words: int = 5
     percent: int = 75
     trees: int = 20
-    depths: tuple[int, ...] = (3, 6, 12, 24)
-    small: int = 64
+    depths: tuple[int, ...] = (4, 6, 9, 13, 24)
+    small: int = 12
     estimate: float = 0.45
 
 
@@ -232,8 +233,8 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         level = nodes(reps if larger is None else reps.join(larger.select("rep").distinct(), "rep", "left_semi"), s.trees, depth, above)
         if larger is not None:
             level = level.join(larger.select(F.col("node").alias("above"), "rep").distinct(), ["above", "rep"], "left_semi")
-        sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("first")).where("size > 1")
-        level = saved(level.select("node", "rep").join(sizes, "node"), "nodes")
+        firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
+        level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 
         # each member against the smallest one of its node; the likeliest candidate of each document goes first
         stars = level.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
@@ -241,15 +242,19 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         if larger is None:
             test(stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
 
-        apart = with_component(level, "rep").select("node", "rep", "size", F.col("c_rep").alias("c"))
-        mixed = apart.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("node")
-        apart = saved(apart.join(mixed, "node", "left_semi"), "apart")
+        apart = with_component(level, "rep").select("node", "rep", F.col("c_rep").alias("c"))
+        parts = apart.groupBy("node", "c").agg(F.count(F.lit(1)).alias("n"))
+        # the members outside the largest component of their node; none: the node is done
+        rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
+        apart = saved(apart.join(rest, "node"), "apart")
         last = depth == s.depths[-1]  # nothing is left out there: nodes of any size are compared
-        few = apart if last else apart.where(F.col("size") <= s.small)
+        few = apart if last else apart.where(F.col("rest") <= s.small)
+        # each of the rest against all members of other components: at most ``small`` partners for a member
         other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
-        pairs = few.join(other, "node").where((F.col("c") != F.col("c_b")) & (F.col("rep") < F.col("b"))).select(F.col("rep").alias("a"), "b").distinct()
+        met = few.where("c <> main").join(other, "node").where(F.col("c") != F.col("c_b"))
+        pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
         test(stars.select("a", "b").unionByName(_similar(pairs, reps, s).select("a", "b")))
-        larger = apart.where(F.col("size") > s.small).select("node", "rep")
+        larger = apart.where(F.col("rest") > s.small).select("node", "rep")
         if last or larger.isEmpty():
             return components
         above = depth
