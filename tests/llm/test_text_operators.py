@@ -59,9 +59,11 @@ def test_suffix_array_matches_sorting():
     assert suffix_array(long) == sorted(range(len(long)), key=lambda i: long[i:])
 
 
-@pytest.mark.parametrize("group", [4096, 1])
-def test_repeats_match_brute_force(docs_of, sample, odd_rows, group, monkeypatch):
+@pytest.mark.parametrize("group,least_hot", [(4096, 128), (1, 10**9), (4096, 2)])
+def test_repeats_match_brute_force(docs_of, sample, odd_rows, group, least_hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "GROUP", group)  # 1: every mixed group takes the way of very large ones
+    monkeypatch.setattr(substring_dedup, "LEAST_HOT", least_hot)
+    monkeypatch.setattr(substring_dedup, "SAMPLE_EVERY", 2)
     run = "".join(random.Random(5).choice("abcdefgh ") for _ in range(400))
     rows = sample[:60] + [r for r in odd_rows if len(r[1] or "") < 10_000]
     rows += [(200_000 + k, run[k : k + 150] + str(k) * k + run) for k in range(40)]  # many copies with different ends
