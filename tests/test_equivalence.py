@@ -46,6 +46,7 @@ def test_single_scan_equals_union(tx):
 def test_nothing_runs_and_nothing_stays_persisted(spark, tx):
     """Building the flag table starts no job; running it leaves no persisted frame behind."""
     tracker = spark.sparkContext.statusTracker()
+    tx.count()  # the spread scan of the fixture itself is kept
     kept = spark.sparkContext._jsc.getPersistentRDDs().size()
     spark.sparkContext.setJobGroup("build", "build")
     flags = D.all_flags(tx)
@@ -53,6 +54,7 @@ def test_nothing_runs_and_nothing_stays_persisted(spark, tx):
     spark.sparkContext.setJobGroup("run", "run")
     flags.count()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_shuffle_joins_give_the_same_flags(spark, tx):
