@@ -16,6 +16,8 @@ from .common import phrase_words, saved, small
 
 #: Terms of a window whose posting lists are intersected.
 RAREST = 2
+#: The mark after the last word of a file; no word is empty.
+END = ""
 
 
 def words_of(docs: DataFrame) -> DataFrame:
@@ -58,9 +60,10 @@ def positional_index(files: DataFrame, terms: DataFrame, reach: int) -> DataFram
 
     ``around`` holds the words from position ``low`` to ``reach`` words after
     the term, so a phrase can be confirmed without reading the text again.
+    If ``terms`` has END, every file has a posting of it after its last word.
     """
     return (
-        files.select("doc_id", "digest", "words", F.posexplode("words").alias("at", "term"))
+        files.select("doc_id", "digest", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "term"))
         .join(small(terms), "term", "left_semi")
         .withColumn("low", F.greatest(F.lit(0), F.col("at") - reach))
         .select("term", "doc_id", "digest", "at", "low", F.slice("words", F.col("low") + 1, F.col("at") - F.col("low") + reach + 1).alias("around"))
@@ -138,7 +141,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     """
     files = words_of(docs)
     windows = saved(rarest_terms(windows_of(benchmark, size), files), "windows")
-    terms = saved(windows.select(F.explode("picks.term").alias("term")).distinct(), "rare-terms")
+    end = docs.sparkSession.createDataFrame([(END,)], "term string")
+    terms = saved(windows.select(F.explode("picks.term").alias("term")).distinct().unionByName(end), "rare-terms")
     index = saved(positional_index(files, terms, size - 1), "postings")
     found = (
         phrase_matches(index, windows)
@@ -159,7 +163,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
         lambda a: a["n"],
     )
     hit = found.select(F.col("doc_id").alias("h_id"), F.col("digest").alias("h_digest"), covered.cast("long").alias("n_hit"), "items")
-    sizes = files.select("doc_id", "digest", F.size("words").cast("long").alias("n_words"))
+    sizes = index.where(F.col("term") == END).select("doc_id", "digest", F.col("at").cast("long").alias("n_words"))
     joined = sizes.join(hit, sizes["doc_id"].eqNullSafe(hit["h_id"]) & (sizes["digest"] == hit["h_digest"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.select(
