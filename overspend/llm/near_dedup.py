@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import LOWER, UPPER, saved
+from .common import LOWER, UPPER, saved, small
 from .components import connected_components
 
 COORDINATES = 64
@@ -178,7 +178,7 @@ def _similar(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
 
 def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """(a, b, linked): the exact answer for each pair, from full sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ends = small(saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,13 +236,13 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 
-        # each member against the smallest one of its node; the likeliest candidate of each document goes first
-        stars = level.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-        stars = saved(_similar(stars, reps, s), "stars")
+        # the likeliest candidate of each document goes first, of those that are smallest in its nodes
         if larger is None:
+            stars = level.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+            stars = _similar(stars, reps, s)
             test(stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
 
-        apart = with_component(level, "rep").select("node", "rep", F.col("c_rep").alias("c"))
+        apart = with_component(with_component(level, "rep"), "first").select("node", "rep", "first", F.col("c_rep").alias("c"), F.col("c_first").alias("c_of_first"))
         parts = apart.groupBy("node", "c").agg(F.count(F.lit(1)).alias("n"))
         # the members outside the largest component of their node; none: the node is done
         rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
@@ -252,8 +252,11 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         # each of the rest against all members of other components: at most ``small`` partners for a member
         other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
         met = few.where("c <> main").join(other, "node").where(F.col("c") != F.col("c_b"))
-        pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-        test(stars.select("a", "b").unionByName(_similar(pairs, reps, s).select("a", "b")))
+        pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
+        if not last:
+            many = apart.where((F.col("rest") > s.small) & (F.col("c") != F.col("c_of_first")))
+            pairs = pairs.unionByName(many.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+        test(_similar(pairs.distinct(), reps, s))
         larger = apart.where(F.col("rest") > s.small).select("node", "rep")
         if last or larger.isEmpty():
             return components
