@@ -7,15 +7,18 @@ and each of their values is a child. Pairs above the similarity survive each
 level with an expected count of at least one, others die out.
 
 Nodes are then compared: every member with the smallest one, and, where few
-members are left outside the largest component, these with all others. Nodes
-with many such members are branched deeper. Every link is confirmed on full
-sets.
+members are left outside the largest component, these with all others. The
+members of nodes with many such members get deeper trees, each with a signature
+of its own and as many trees as the depth needs. What is crowded at the last
+depth is compared whole, on full sets, in blocks. Every link is confirmed on
+full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log
 
 import numpy as np
 import pandas as pd
@@ -35,20 +38,25 @@ _RNG = np.random.default_rng(20240517)
 _MULTIPLY = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+#: Least share of pairs at the least similarity that trees below the first depth may lose.
+MISS = 1e-6
+#: Members of a block of a crowd, and shingles of its sets.
+CROWD_BLOCK = 1024
+CROWD_ITEMS = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
 @dataclass(frozen=True)
 class Settings:
-    """words: shingle length; percent: least similarity; trees: independent repetitions;
-    depths: levels after which nodes are compared; small: most members outside a node's largest component that are compared with all others;
+    """words: shingle length; percent: least similarity; trees: repetitions at the first depth, and the fewest at others;
+    depths: levels of the trees after which nodes are compared; small: most members outside a node's largest component that are compared with all others;
     estimate: least share of equal coordinates of a candidate (of 64; a pair at 75 % misses 45 % once in 10 million)."""
 
     words: int = 5
     percent: int = 75
     trees: int = 20
-    depths: tuple[int, ...] = (4, 6, 9, 13, 24)
+    depths: tuple[int, ...] = (4, 9)
     small: int = 12
     estimate: float = 0.45
 
@@ -84,11 +92,25 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(mix(total + np.uint64(n)))
 
 
-def signature(items: np.ndarray) -> np.ndarray:
+def trees_at(s: Settings, depth: int) -> int:
+    """Independent trees of which a pair at the least similarity shares no node of ``depth`` with probability MISS at most."""
+    p, lost = s.percent / 100, 0.0
+    for _ in range(depth):
+        lost = (1 - p + p * lost) * (1 - p / 3 + p / 3 * lost)
+    return s.trees if lost == 0 else max(s.trees, ceil(log(MISS) / log(lost)))
+
+
+def coordinates(depth: int, tree: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash functions of one tree of its own."""
+    rng = np.random.default_rng([20240517, depth, tree])
+    return rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
+
+
+def signature(items: np.ndarray, multiply: np.ndarray = _MULTIPLY, add: np.ndarray = _ADD) -> np.ndarray:
     """Minimum of each coordinate's hash over a set."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for k in range(0, len(items), 2048):
-        low = np.minimum(low, (items[k : k + 2048, None] * _MULTIPLY + _ADD).min(axis=0))
+        low = np.minimum(low, (items[k : k + 2048, None] * multiply + add).min(axis=0))
     return (mix(low) >> np.uint64(32)).astype("<u4")
 
 
@@ -113,13 +135,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def paths(sig: np.ndarray, tree: int, depth: int, above: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, node at level ``above``, node at level ``depth``) of every chosen path of one tree."""
+def paths(sig: np.ndarray, tree: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, node at level ``depth``) of every chosen path of one tree."""
     row = np.arange(len(sig))
     node = np.full(len(sig), mix(np.array([tree + 1], dtype=np.uint64))[0], dtype=np.uint64)
     used = np.zeros(len(sig), dtype=np.uint64)
-    marked = node
-    for level in range(depth):
+    for _ in range(depth):
         branches = []
         for branch in (0, 1):
             take = np.ones(len(row), dtype=bool) if branch == 0 else mix(node + np.uint64(7)) % np.uint64(3) == 0
@@ -132,13 +153,13 @@ def paths(sig: np.ndarray, tree: int, depth: int, above: int) -> tuple[np.ndarra
                 pick = np.where(taken, (pick + np.uint64(1)) % np.uint64(COORDINATES), pick)
             value = sig[row[take], pick.astype(np.int64)].astype(np.uint64)
             child = mix(mix(at + pick + np.uint64(1)) + value)
-            branches.append((row[take], child, u | (np.uint64(1) << pick), child if level < above else marked[take]))
-        row, node, used, marked = (np.concatenate(x) for x in zip(*branches, strict=True))
-    return row, marked, node
+            branches.append((row[take], child, u | (np.uint64(1) << pick)))
+        row, node, used = (np.concatenate(x) for x in zip(*branches, strict=True))
+    return row, node
 
 
-def nodes(reps: DataFrame, trees: int, depth: int, above: int) -> DataFrame:
-    """(above, node, rep) of all trees."""
+def nodes(reps: DataFrame, trees: int, depth: int) -> DataFrame:
+    """(node, rep) of all trees, over the signature of ``reps``."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,11 +169,28 @@ def nodes(reps: DataFrame, trees: int, depth: int, above: int) -> DataFrame:
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
             for k in range(0, len(rep), 2000):
                 for tree in range(trees):
-                    row, up, node = paths(sig[k : k + 2000], tree, depth, above)
-                    columns = [up.view(np.int64), node.view(np.int64), rep[k : k + 2000][row]]
-                    yield pa.record_batch([pa.array(c) for c in columns], ["above", "node", "rep"])
+                    row, node = paths(sig[k : k + 2000], tree, depth)
+                    columns = [node.view(np.int64), rep[k : k + 2000][row]]
+                    yield pa.record_batch([pa.array(c) for c in columns], ["node", "rep"])
+
+    return reps.select("rep", "sig").mapInArrow(branch, "node long, rep long")
+
+
+def own_nodes(sets: DataFrame, trees: int, depth: int) -> DataFrame:
+    """(node, rep) of trees that have a signature each, over the full ``sets``."""
+
+    def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = [coordinates(depth, tree) for tree in range(trees)]
+        for batch in batches:
+            rep = batch.column(0).to_numpy(zero_copy_only=False)
+            for k in range(0, len(rep), 500):
+                items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(1)[k : k + 500]]
+                for tree in range(trees):
+                    sig = np.stack([signature(x, *hashes[tree]) for x in items])
+                    row, node = paths(sig, tree, depth)
+                    yield pa.record_batch([pa.array(c) for c in (node.view(np.int64), rep[k : k + 500][row])], ["node", "rep"])
 
-    return reps.select("rep", "sig").mapInArrow(branch, "above long, node long, rep long")
+    return sets.select("rep", "items").mapInArrow(branch, "node long, rep long")
 
 
 def _equal_share(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -176,14 +214,22 @@ def _similar(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """(a, b, linked): the exact answer for each pair, from full sets."""
-    ends = small(saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends"))
+def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """(rep, items): the full sets of the representatives in ``ids`` (column rep)."""
+    ends = small(saved(ids.select(F.col("rep").alias("doc_id")).distinct(), "ends"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [shingles(t.as_py(), s.words).tobytes() for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.binary())], ["doc_id", "items"])
+            yield pa.record_batch([batch.column(0), pa.array(values, pa.binary())], ["rep", "items"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ends, "doc_id", "left_semi")
+    largest = F.max(F.struct(F.length("items").alias("size"), "items"))["items"]  # of rows that repeat a doc_id
+    return saved(texts.mapInArrow(sets, "rep long, items binary").groupBy("rep").agg(largest.alias("items")), "sets")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(a, b, linked): the exact answer for each pair, from full sets."""
 
     @F.pandas_udf("boolean")
     def enough(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -194,16 +240,80 @@ def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
             out.append(100 * both >= s.percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ends, "doc_id", "left_semi")
-    largest = F.max(F.struct(F.length("items").alias("size"), "items"))["items"]  # of rows that repeat a doc_id
-    full = saved(texts.mapInArrow(sets, "doc_id long, items binary").groupBy("doc_id").agg(largest.alias("items")), "sets")
+    full = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), s)
     return (
-        pairs.join(full.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
-        .join(full.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
+        pairs.join(full.select(F.col("rep").alias("a"), F.col("items").alias("items_a")), "a")
+        .join(full.select(F.col("rep").alias("b"), F.col("items").alias("items_b")), "b")
         .select("a", "b", enough("items_a", "items_b").alias("linked"))
     )
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Common items of every two sets, exact, by products of 0/1 matrices."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, item, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1  # an item of one set is common to none
+    place = np.cumsum(several) - 1
+    rows, item = rows[several[item]], place[item[several[item]]]
+    order = np.argsort(item, kind="stable")
+    rows, item = rows[order], item[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    width = 4096
+    for low in range(0, int(several.sum()), width):
+        at = slice(*np.searchsorted(item, [low, low + width]))
+        x = np.zeros((len(sets), width), dtype=np.float32)  # counts up to 4096 are exact
+        x[rows[at], item[at] - low] = 1
+        out += (x @ x.T).astype(np.int64)
+    np.fill_diagonal(out, [len(x) for x in sets])
+    return out
+
+
+def _links_of_crowds(crowded: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) that connect what is linked among members of crowded nodes (node, rep, first, c).
+
+    Nodes that share members are one crowd. Each member outside the largest
+    component of its crowd meets all others, block by block; a pair of blocks
+    gives the edges of a spanning forest.
+    """
+    crowds = connected_components(crowded.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    members = saved(crowds.withColumnRenamed("id", "rep").withColumnRenamed("component", "crowd").join(crowded.select("rep", "c").distinct(), "rep"), "crowds")
+    main = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("crowd").agg(F.max_by("c", F.struct("n", "c")).alias("main"))
+    dealt = members.join(small(saved(main, "crowd-mains")), "crowd").withColumn("rest", F.col("c") != F.col("main")).join(sets, "rep")
+    weight = F.greatest(F.count(F.lit(1)) / CROWD_BLOCK, F.sum(F.length("items") / 8) / CROWD_ITEMS)
+    parts = dealt.groupBy("crowd", "rest").agg(F.ceil(weight).cast("int").alias("blocks"))
+    blocks = parts.groupBy("crowd").agg(
+        F.coalesce(F.max(F.when(F.col("rest"), F.col("blocks"))), F.lit(0)).alias("n_rest"),
+        F.coalesce(F.max(F.when(~F.col("rest"), F.col("blocks"))), F.lit(0)).alias("n_main"),
+    )
+    # blocks of the rest are numbered first; each of them meets all blocks, itself too
+    block = F.when(F.col("rest"), F.pmod(F.xxhash64("rep"), "n_rest")).otherwise(F.col("n_rest") + F.pmod(F.xxhash64("rep"), "n_main")).cast("int")
+    last = F.when(F.col("rest"), F.col("n_rest") + F.col("n_main")).otherwise(F.col("n_rest")) - 1
+    met = (
+        dealt.join(small(saved(blocks.where("n_rest > 0"), "crowd-blocks")), "crowd")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .select("crowd", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "items")
+    )
+
+    def compare(f: pd.DataFrame) -> pd.DataFrame:
+        rep, n = f["rep"].to_numpy(), f["items"].map(len).to_numpy() // 8
+        both = shared_counts([np.frombuffer(x, dtype=np.uint64) for x in f["items"]])
+        near = 100 * both >= s.percent * (n[:, None] + n[None, :] - both)
+        seen, edges = np.zeros(len(rep), dtype=bool), []
+        for start in range(len(rep)):
+            waiting = [] if seen[start] else [start]
+            seen[start] = True
+            while waiting:
+                at = waiting.pop()
+                for to in np.flatnonzero(near[at] & ~seen).tolist():
+                    seen[to] = True
+                    waiting.append(to)
+                    edges.append((min(rep[at], rep[to]), max(rep[at], rep[to])))
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+    return met.groupBy("crowd", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
 def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
     """(id, component) of the linked representatives; None if nothing is linked."""
     components, tested = None, None
@@ -228,11 +338,13 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         if not new.where("linked").isEmpty():
             components = connected_components(tested.where("linked"))
 
-    above, larger = 0, None
+    sets, larger = None, None
     for depth in s.depths:
-        level = nodes(reps if larger is None else reps.join(larger.select("rep").distinct(), "rep", "left_semi"), s.trees, depth, above)
-        if larger is not None:
-            level = level.join(larger.select(F.col("node").alias("above"), "rep").distinct(), ["above", "rep"], "left_semi")
+        if larger is None:
+            level = nodes(reps, s.trees, depth)
+        else:  # fresh trees: what met in a crowded node meets again but for MISS
+            sets = sets or _sets(docs, larger, s)
+            level = own_nodes(sets.join(larger, "rep", "left_semi"), trees_at(s, depth), depth).distinct()
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 
@@ -247,21 +359,25 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         # the members outside the largest component of their node; none: the node is done
         rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
         apart = saved(apart.join(rest, "node"), "apart")
-        last = depth == s.depths[-1]  # nothing is left out there: nodes of any size are compared
-        few = apart if last else apart.where(F.col("rest") <= s.small)
+        few = apart.where(F.col("rest") <= s.small)
         # each of the rest against all members of other components: at most ``small`` partners for a member
         other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
         met = few.where("c <> main").join(other, "node").where(F.col("c") != F.col("c_b"))
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
-        if not last:
-            many = apart.where((F.col("rest") > s.small) & (F.col("c") != F.col("c_of_first")))
-            pairs = pairs.unionByName(many.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+        crowded = apart.where(F.col("rest") > s.small)
+        many = crowded.where(F.col("c") != F.col("c_of_first"))
+        pairs = pairs.unionByName(many.select(F.col("first").alias("a"), F.col("rep").alias("b")))
         test(_similar(pairs.distinct(), reps, s))
-        larger = apart.where(F.col("rest") > s.small).select("node", "rep")
-        if last or larger.isEmpty():
+        larger = saved(crowded.select("rep").distinct(), "larger")
+        if larger.isEmpty():
             return components
-        above = depth
-    return components
+
+    # nothing is left out at the last depth: nodes of any size are compared
+    crowded = with_component(crowded.select("node", "rep", "first"), "rep").withColumnRenamed("c_rep", "c")
+    links = saved(_links_of_crowds(crowded, sets or _sets(docs, larger, s), s).withColumn("linked", F.lit(True)), "crowd-links")
+    if links.isEmpty():
+        return components
+    return connected_components(links if tested is None else tested.where("linked").unionByName(links))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

@@ -329,3 +329,22 @@ def test_results_do_not_depend_on_partitions(spark, docs_of, sample):
     one = rows_of(near_dedup.near_duplicates(docs_of(rows).coalesce(1)))
     many = rows_of(near_dedup.near_duplicates(docs_of(rows).repartition(7, F.col("doc_id"))))
     assert one == many
+
+
+def test_links_in_a_crowd_below_the_limit(docs_of):
+    """Thousands of documents at a similarity of 0.70, and planted pairs between 0.75 and 0.80."""
+    base = " ".join(f"b{k}" for k in range(124))
+
+    def text(k, own):  # 120 shared shingles and 26 others, of which twins share some
+        return f"{base} " + " ".join(f"t{k // 2}x{j}" if j < own else f"o{k}x{j}" for j in range(26))
+
+    rows = [(k, text(k, 6 + k // 2 % 4 if k < 120 else 0)) for k in range(2000)]
+    assert 0.69 < len(brute.shingles(rows[200][1]) & brute.shingles(rows[201][1])) / len(brute.shingles(rows[200][1]) | brute.shingles(rows[201][1])) < 0.75
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(rows)).collect()}
+    assert got == {k: k - k % 2 if k < 120 else k for k in range(2000)}
+
+
+def test_common_items_of_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 9000, n, dtype=np.uint64)) for n in (1, 40, 5000, 6000, 6001)]
+    assert near_dedup.shared_counts(sets).tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
