@@ -1,8 +1,10 @@
 """Chat formatting with quotation linking.
 
-Every line of a message has a quote level (its leading ``>`` marks). Own lines
-are hashed after normalisation, quoted lines likewise; a quoted line votes for
-the latest earlier message of its conversation that has it among its own. The
+Every line of a message has a quote level (its leading ``>`` marks). Runs of
+lines of one level are passages. Own passages are hashed after normalisation,
+quoted ones likewise, each as a whole, by paragraph, by two lines and by line; a
+quoted one votes for the latest earlier message of its conversation that has it
+among its own. Whole passages outvote parts of them. The
 message with most votes is the parent. Conversations come out in reply order,
 without the quotes. Everything is DataFrame operations.
 """
@@ -22,58 +24,104 @@ def normalised(line: Column) -> Column:
     return ascii_lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
 
 
-def quoted_lines(messages: DataFrame) -> DataFrame:
-    """(key, conv_id, turn, at, level, body, passage): one row per line; equal rows once.
+#: Kinds of units; a quote of a longer unit outvotes those of shorter ones.
+LINE, TWO_LINES, PARAGRAPH, PASSAGE = range(4)
 
-    ``level`` is the number of quote marks, 0 for own lines. ``passage`` is
-    the number of the run of quoted lines of one level, null for own lines.
+
+def units_of(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, kind, h1, h2, n): the passages of every message and their parts; equal rows once.
+
+    ``level`` is the number of quote marks, 0 for own lines. A passage is a run
+    of lines of one level, a paragraph one without blank lines; white space is
+    joined across the ``n`` lines of a unit, so the width of lines does not matter.
     """
-    text = F.coalesce("text", F.lit(""))
-    lines = F.split(text, "\n")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
     level = F.transform(lines, lambda l: F.length(F.regexp_replace(F.regexp_extract(l, MARKS, 0), "[^>]", "")))
+    norm = F.transform(lines, lambda l: normalised(F.regexp_replace(l, MARKS, "")))
+
+    def changes(i: Column) -> Column:
+        return (i == 0) | (F.get("levels", i) != F.get("levels", i - 1))
+
+    def blank_border(i: Column) -> Column:
+        return (F.get("norms", i) == "") | (F.get("norms", i - 1) == "")
+
+    def cut(starts: str) -> Column:
+        """(level, lines that are not blank) of each part that begins at ``starts``."""
+        end = lambda k: F.coalesce(F.get(starts, k + 1), F.size("norms"))
+        return F.transform(
+            starts,
+            lambda s, k: F.struct(F.get("levels", s).alias("level"), F.filter(F.slice("norms", s + 1, end(k) - s), lambda x: x != "").alias("lines")),
+        )
+
+    def unit(level: Column, kind: int, text: Column, n: Column) -> Column:
+        return F.struct(level.alias("level"), F.lit(kind).alias("kind"), text.alias("text"), n.cast("int").alias("n"))
+
+    def whole(parts: str, kind: int) -> Column:
+        return F.transform(parts, lambda r: unit(r["level"], kind, F.array_join(r["lines"], " "), F.size(r["lines"])))
+
+    def twos(r: Column) -> Column:
+        first = F.slice(r["lines"], 1, F.greatest(F.size(r["lines"]) - 1, F.lit(0)))
+        return F.transform(first, lambda x, i: unit(r["level"], TWO_LINES, F.concat(x, F.lit(" "), F.get(r["lines"], i + 1)), F.lit(2)))
+
+    def singles(r: Column) -> Column:
+        return F.transform(r["lines"], lambda x: unit(r["level"], LINE, x, F.lit(1)))
+
+    at = F.sequence(F.lit(0), F.size("norms") - 1)
     return (
-        messages.select("conv_id", "turn", F.xxhash64("text").alias("digest"), lines.alias("lines"), level.alias("levels"))
+        messages.select("conv_id", "turn", F.xxhash64("text").alias("digest"), level.alias("levels"), norm.alias("norms"))
         .dropDuplicates(["conv_id", "turn", "digest"])
-        # a passage begins where the level changes
-        .withColumn("begins", F.transform("levels", lambda l, i: (i == 0) | (l != F.get("levels", i - 1))))
-        .select("conv_id", "turn", "digest", "levels", "begins", F.posexplode("lines").alias("at", "line"))
+        .withColumn("run_starts", F.filter(at, changes))
+        .withColumn("paragraph_starts", F.filter(at, lambda i: changes(i) | blank_border(i)))
+        .withColumn("runs", cut("run_starts"))
+        .withColumn("paragraphs", cut("paragraph_starts"))
         .select(
             "conv_id",
             "turn",
-            "digest",
-            "at",
-            F.get("levels", F.col("at")).alias("level"),
-            F.regexp_replace("line", MARKS, "").alias("body"),
-            F.get("begins", F.col("at")).alias("begins"),
+            F.explode(
+                F.concat(
+                    whole("runs", PASSAGE),
+                    whole("paragraphs", PARAGRAPH),
+                    F.flatten(F.transform("runs", twos)),
+                    F.flatten(F.transform("runs", singles)),
+                )
+            ).alias("unit"),
         )
+        # a part of one line is a line
+        .where((F.col("unit.n") > 1) | (F.col("unit.kind") == LINE))
+        .select("conv_id", "turn", "unit.level", "unit.kind", F.xxhash64("unit.text").alias("h1"), F.xxhash64(F.reverse("unit.text")).alias("h2"), "unit.n")
     )
 
 
 def parents(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_turn, votes): the earlier message that a message quotes most; ties to the later one.
 
-    Only the outermost quote level of a message tells its parent; deeper ones
-    are quotes that the parent itself had.
+    Whole passages count first, then paragraphs, pairs of lines and lines. The
+    outermost quote level that finds an original tells the parent; deeper ones
+    are quotes that the parent itself had. ``votes`` are the quoted lines.
     """
-    lines = quoted_lines(messages.where("conv_id IS NOT NULL AND turn IS NOT NULL"))
-    hashed = (
-        lines.withColumn("norm", normalised(F.col("body")))
-        .where(F.col("norm") != "")
-        .groupBy("conv_id", F.xxhash64("norm").alias("h1"), F.xxhash64(F.reverse("norm")).alias("h2"), "turn", F.least("level", F.lit(2)).alias("level"))
-        .agg(F.count(F.lit(1)).alias("times"))
-        .where("level < 2")
-    )
-    # the latest earlier message with this line among its own: no pairs of messages are made
+    units = units_of(messages.where("conv_id IS NOT NULL AND turn IS NOT NULL"))
+    hashed = units.groupBy("conv_id", "h1", "h2", "turn", "level", "kind").agg(F.sum("n").alias("n"))
+    # the latest earlier message with this unit among its own: no pairs of messages are made
     before = Window.partitionBy("conv_id", "h1", "h2").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     original = F.max(F.when(F.col("level") == 0, F.col("turn"))).over(before)
+
+    def lines(kind: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+
     votes = (
         hashed.withColumn("parent_turn", original)
-        .where("level = 1 AND parent_turn IS NOT NULL")
-        .groupBy("conv_id", "turn", "parent_turn")
-        .agg(F.sum("times").alias("votes"))
+        .where("level > 0 AND parent_turn IS NOT NULL")
+        .groupBy("conv_id", "turn", "level", "parent_turn")
+        .agg(lines(PASSAGE).alias("passages"), lines(PARAGRAPH).alias("paragraphs"), lines(TWO_LINES).alias("twos"), lines(LINE).alias("lines"))
+    )
+    order = F.struct((-F.col("level")).alias("outermost"), "passages", "paragraphs", "twos", "lines", "parent_turn")
+    best = votes.groupBy("conv_id", "turn").agg(F.max(order).alias("best"))
+    return best.select(
+        "conv_id",
+        "turn",
+        F.col("best.parent_turn").alias("parent_turn"),
+        F.greatest("best.passages", "best.paragraphs", "best.lines").alias("votes"),
     )
-    best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct("votes", "parent_turn")).alias("best"))
-    return best.select("conv_id", "turn", F.col("best.parent_turn").alias("parent_turn"), F.col("best.votes").alias("votes"))
 
 
 def reply_roots(links: DataFrame) -> DataFrame:

@@ -99,6 +99,27 @@ def test_long_reply_chain_and_repeats(spark):
     assert Counter((r["turn"], r["root_turn"], r["depth"]) for r in got) == Counter((t, 0, t) for _, t, _, _ in rows)
 
 
+def test_whole_passages_outvote_lines(spark):
+    long = "A long line that only the first message of this conversation has."
+    rows = [
+        (1, 0, f"Thanks.\nYes.\n{long}\nMore of it."),
+        (1, 1, "Thanks.\nYes.\nOther words."),
+        (1, 2, f"> Thanks.\n> Yes.\n> {long}\n> More of it.\nthe whole"),
+        (2, 0, f"Thanks.\n{long}"),
+        (2, 1, "Thanks.\nOther words."),
+        (2, 2, f"> Thanks.\n> {long}\nits tie"),
+        (3, 0, f"{long} And it goes on.\n\nA second paragraph."),
+        (3, 1, "> A long line that only the first message\n> of this conversation has. And it\n> goes on.\nwrapped"),
+        (3, 2, ">> A second paragraph.\n> words that nobody wrote\ndeeper"),
+        (4, 0, f"Thanks.\n{long}\nMore."),
+        (4, 1, "Thanks.\nOther words."),
+        (4, 2, f"> Thanks.\n> {long}\npart of a passage"),
+    ]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["votes"]) for r in chat_quotes.parents(m).collect()}
+    assert got == {(1, 2): (0, 4), (2, 2): (0, 2), (3, 1): (0, 3), (3, 2): (0, 1), (4, 2): (0, 2)}
+
+
 # --- the pipeline ------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
