@@ -110,7 +110,8 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
         .select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
         .withColumn("key", line_key(F.col("line")))
         .where(F.length(key) >= min_chars)
-        .select(F.xxhash64(key).alias("k1"), F.xxhash64(key, F.length(key)).alias("k2"), "doc_id", "digest", "at")
+        # k2 must not follow from k1: more arguments would only be hashed with k1 as the seed
+        .select(F.xxhash64(key).alias("k1"), F.xxhash64(F.concat(F.lit("#"), key)).alias("k2"), "doc_id", "digest", "at")
     )
 
 

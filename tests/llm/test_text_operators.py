@@ -290,6 +290,23 @@ def test_line_index_is_reversible(spark, docs_of, sample, monkeypatch):
     assert both.shards > 1
 
 
+def hash_of_int(i, seed):
+    """Spark's xxhash64 of an int."""
+    full = 2**64 - 1
+    h = ((seed + 0x27D4EB2F165667C5 + 4) & full) ^ (i * 0x9E3779B185EBCA87 & full)
+    h = ((h << 23 | h >> 41) & full) * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9 & full
+    h = (h ^ h >> 33) * 0xC2B2AE3D27D4EB4F & full
+    h = (h ^ h >> 29) * 0x165667B19E3779F9 & full
+    return h ^ h >> 32
+
+
+def test_second_line_hash_does_not_follow_from_the_first(spark, docs_of):
+    line = "a line that is long enough to count"
+    assert spark.range(1).select(F.xxhash64(F.lit(7))).first()[0] % 2**64 == hash_of_int(7, 42)
+    r = line_dedup._lines(docs_of([(1, line)]), 20).first()
+    assert r["k2"] % 2**64 != hash_of_int(len(line), r["k1"] % 2**64)
+
+
 # --- licences --------------------------------------------------------------------------
 
 def test_base_licenses_match_brute_force(docs_of, sample, odd_rows):
