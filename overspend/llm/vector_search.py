@@ -27,6 +27,9 @@ QUERY_BLOCK = 256
 #: Candidates that the first expansion visits at least, for each wanted neighbour.
 FIRST = 20
 
+#: Keys that the blocks of one annulus are dealt out by.
+SALTS = 16
+
 PAIR = "query_id long, query_key long, vec_id long, score long"
 
 
@@ -70,6 +73,11 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
+def in_order(f: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a query block in one order on each visit: sums of floats depend on it."""
+    return f.sort_values(["vec_id", "key"], ignore_index=True)
+
+
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
@@ -137,12 +145,13 @@ def top_k(
         return pd.DataFrame(
             {
                 "annulus": [f["annulus"].iloc[0]],
+                "slice": [f["block"].iloc[0] % SALTS],
                 "ids": [f["vec_id"].to_numpy().astype("<i8").tobytes()],
                 "matrix": [_matrix(f["c"], width).astype(kind).tobytes()],
             }
         )
 
-    blocks = saved(dealt.groupBy("annulus", "block").applyInPandas(packed_block, "annulus int, ids binary, matrix binary"), "blocks")
+    blocks = saved(dealt.groupBy("annulus", "block").applyInPandas(packed_block, "annulus int, slice int, ids binary, matrix binary"), "blocks")
 
     queries = index.where(is_query).select("vec_id", "key", "c", "pivot")
     groups = {r["pivot"]: r["count"] for r in queries.groupBy("pivot").count().collect()}
@@ -153,6 +162,7 @@ def top_k(
         schema = "annulus int, q_ids binary, q_keys binary, q_matrix binary, q_least binary"
 
         def plan(f: pd.DataFrame) -> pd.DataFrame:
+            f = in_order(f)
             q = _matrix(f["c"], width)
             reach = bounds(q)
             order = np.argsort(-reach.mean(axis=0), kind="stable")
@@ -190,7 +200,9 @@ def top_k(
     def expand(rows: DataFrame, first: bool) -> DataFrame:
         plan, schema = visits(first)
         asked = rows.groupBy("pivot", "salt").applyInPandas(plan, schema)
-        return asked.join(blocks, "annulus").select("ids", "matrix", "q_ids", "q_keys", "q_matrix", "q_least").mapInPandas(compare, PAIR)
+        slices = F.least(n_blocks[F.col("annulus")], F.lit(SALTS))
+        asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        return asked.join(blocks, ["annulus", "slice"]).select("ids", "matrix", "q_ids", "q_keys", "q_matrix", "q_least").mapInPandas(compare, PAIR)
 
     def best(found: DataFrame, *by: str) -> DataFrame:
         order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id")

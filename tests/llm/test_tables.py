@@ -60,6 +60,13 @@ def test_top_k_of_few_and_none(spark):
     assert vector_search.top_k(vectors_of(spark, [(1, [1.0]), (2, [2.0])]), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_query_blocks_have_one_order():
+    f = vector_search.pd.DataFrame({"vec_id": [3, 1, 3, 2], "key": [5, 9, 4, 7], "c": [[0.1], [0.2], [0.3], [0.4]]})
+    want = vector_search.in_order(f)
+    assert want["c"].tolist() == [[0.2], [0.4], [0.3], [0.1]]
+    assert all(vector_search.in_order(f.sample(frac=1, random_state=k)).equals(want) for k in range(9))
+
+
 # --- chats ----------------------------------------------------------------------
 
 def test_quotes_link_replies(spark):
