@@ -36,10 +36,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    """Of each group of near-duplicates the document with the smallest doc_id stays; rows of one doc_id are judged by their texts."""
     importable(spark)
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    judged = near_dedup.near_duplicates_by_text(docs)
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    same = (docs["doc_id"] == gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__digest"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,24 +114,27 @@ def signature(items: np.ndarray, multiply: np.ndarray = _MULTIPLY, add: np.ndarr
     return (mix(low) >> np.uint64(32)).astype("<u4")
 
 
+def digests(items: np.ndarray) -> tuple[int, int]:
+    """128-bit digest of a set."""
+    return int(mix(items).sum(dtype=np.uint64).view(np.int64)), int(mix(items * _PLACE[0]).sum(dtype=np.uint64).view(np.int64))
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, sig): size, 128-bit digest and signature of each set."""
+    """(doc_id, digest, n_shingles, d1, d2, sig): hash of the text; size, 128-bit digest and signature of each set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "d1", "d2", "sig"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["doc_id", "digest", "n_shingles", "d1", "d2", "sig"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 s = shingles(text.as_py(), words)
-                d1 = int(mix(s).sum(dtype=np.uint64).view(np.int64))
-                d2 = int(mix(s * _PLACE[0]).sum(dtype=np.uint64).view(np.int64))
-                rows.append((doc_id, len(s), d1, d2, signature(s).tobytes() if len(s) else None))
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
+                rows.append((doc_id, digest, len(s), *digests(s), signature(s).tobytes() if len(s) else None))
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, d1 long, d2 long, sig binary"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), F.col("text").cast("string")).mapInArrow(
+        sketch, "doc_id long, digest long, n_shingles long, d1 long, d2 long, sig binary"
     )
 
 
@@ -214,21 +217,24 @@ def _similar(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """(rep, items): the full sets of the representatives in ``ids`` (column rep)."""
-    ends = small(saved(ids.select(F.col("rep").alias("doc_id")).distinct(), "ends"))
+    wanted = saved(reps.join(ids.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "d1", "d2"), "wanted")
+    ends = small(saved(wanted.select("doc_id").distinct(), "ends"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [shingles(t.as_py(), s.words).tobytes() for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.binary())], ["rep", "items"])
+            items = [shingles(t.as_py(), s.words) for t in batch.column(1)]
+            d1, d2 = ([digests(x)[k] for x in items] for k in (0, 1))
+            columns = [batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.tobytes() for x in items], pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "d1", "d2", "items"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ends, "doc_id", "left_semi")
-    largest = F.max(F.struct(F.length("items").alias("size"), "items"))["items"]  # of rows that repeat a doc_id
-    return saved(texts.mapInArrow(sets, "rep long, items binary").groupBy("rep").agg(largest.alias("items")), "sets")
+    full = texts.mapInArrow(sets, "doc_id long, d1 long, d2 long, items binary").join(small(wanted), ["doc_id", "d1", "d2"])
+    return saved(full.groupBy("rep").agg(F.max("items").alias("items")), "sets")  # of rows that are repeated
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """(a, b, linked): the exact answer for each pair, from full sets."""
 
     @F.pandas_udf("boolean")
@@ -240,7 +246,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
             out.append(100 * both >= s.percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    full = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), s)
+    full = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), reps, s)
     return (
         pairs.join(full.select(F.col("rep").alias("a"), F.col("items").alias("items_a")), "a")
         .join(full.select(F.col("rep").alias("b"), F.col("items").alias("items_b")), "b")
@@ -333,7 +339,7 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         pairs = saved(pairs, "candidates")
         if pairs.isEmpty():
             return
-        new = saved(_linked(pairs, docs, s), "tested")
+        new = saved(_linked(pairs, docs, reps, s), "tested")
         tested = new if tested is None else tested.unionByName(new)
         if not new.where("linked").isEmpty():
             components = connected_components(tested.where("linked"))
@@ -343,7 +349,7 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         if larger is None:
             level = nodes(reps, s.trees, depth)
         else:  # fresh trees: what met in a crowded node meets again but for MISS
-            sets = sets or _sets(docs, larger, s)
+            sets = sets or _sets(docs, larger, reps, s)
             level = own_nodes(sets.join(larger, "rep", "left_semi"), trees_at(s, depth), depth).distinct()
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
@@ -374,39 +380,52 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
 
     # nothing is left out at the last depth: nodes of any size are compared
     crowded = with_component(crowded.select("node", "rep", "first"), "rep").withColumnRenamed("c_rep", "c")
-    links = saved(_links_of_crowds(crowded, sets or _sets(docs, larger, s), s).withColumn("linked", F.lit(True)), "crowd-links")
+    links = saved(_links_of_crowds(crowded, sets or _sets(docs, larger, reps, s), s).withColumn("linked", F.lit(True)), "crowd-links")
     if links.isEmpty():
         return components
     return connected_components(links if tested is None else tested.where("linked").unionByName(links))
 
 
-def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
-
-    Documents are linked if their shingle sets have a similarity of at least
-    ``percent``; ``component_id`` is the smallest doc_id reachable, ``kept``
-    marks it. Null texts and texts without words have an empty set, are linked
-    with nothing and kept. Rows with a null doc_id are linked with nothing,
-    have no component and are kept. Rows that repeat a doc_id are one document:
-    it has the copies of each of its texts, and the near copies of the text
-    with the most shingles. Other columns are not read. No documents: no rows.
-    """
+def near_duplicates_by_text(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """The rows of :func:`near_duplicates` with ``digest``, the xxhash64 of their text."""
     s = settings or Settings()
     every = saved(sketches(docs, s.words), "sketches")
     groups = (
         every.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("d1", "d2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
     )
     groups = saved(groups, "groups")
-    reps = groups.groupBy("rep").agg(F.max_by("sig", "n_shingles").alias("sig"), F.max("n_shingles").alias("n"))
-    linked = _join(reps, docs, s)
-    same = groups.select("d1", "d2", "n_shingles", "rep")
+    # a representative is a (doc_id, set): named by its doc_id, or, where several sets have that, by a hash of both for all but one
+    key = F.struct("d1", "d2", "n_shingles")
+    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sets"), F.min(key).alias("one")).where("sets > 1").select("doc_id", "one")
+    named = groups.join(small(saved(repeated, "repeated")), "doc_id", "left")
+    rep = F.when(F.col("one").isNull() | (F.col("one") == key), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "d1", "d2", "n_shingles"))
+    reps = saved(named.select(rep.alias("rep"), "doc_id", "d1", "d2", F.col("n_shingles").alias("n"), "sig"), "reps")
+    linked = _join(reps.select("rep", "doc_id", "d1", "d2", "n", "sig"), docs, s)
+    same = reps.select("d1", "d2", F.col("n").alias("n_shingles"), "rep", F.col("doc_id").alias("first_id"))
     if linked is not None:
-        same = same.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
-        same = same.select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("rep"))
-    out = every.select("doc_id", "n_shingles", "d1", "d2").join(same, ["d1", "d2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
+        ids = reps.select(F.col("rep").alias("id"), "doc_id").join(linked, "id")
+        lowest = ids.groupBy("component").agg(F.min("doc_id").alias("lowest"))
+        linked = linked.join(lowest, "component").select(F.col("id").alias("rep"), "lowest")
+        same = same.join(linked, "rep", "left").withColumn("first_id", F.coalesce("lowest", "first_id"))
+    same = same.select("d1", "d2", "n_shingles", "first_id")
+    out = every.select("doc_id", "digest", "n_shingles", "d1", "d2").join(same, ["d1", "d2", "n_shingles"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
+        "doc_id", "digest", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )
+
+
+def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Documents are linked if their shingle sets have a similarity of at least
+    ``percent``; ``component_id`` is the smallest doc_id reachable, ``kept``
+    marks it. Null texts and texts without words have an empty set, are linked
+    with nothing and kept. Rows with a null doc_id are linked with nothing,
+    have no component and are kept. Rows that repeat a doc_id are judged by
+    their texts: each has the copies and near copies of its own. Other columns
+    are not read. No documents: no rows.
+    """
+    return near_duplicates_by_text(docs, settings).drop("digest")

@@ -173,3 +173,13 @@ def test_stages_with_odd_rows(spark, pipeline, odd_rows):
     ids = [r["doc_id"] for r in pipeline.near_dedup_stage(spark, docs, SF).collect()]
     assert ids.count(None) == 2 and 100_005 not in ids and 100_004 in ids
     assert pipeline.packing_stage(spark, docs, SF).select("doc_id").distinct().count() == len({d for d, _ in rows})
+
+
+def test_rows_of_one_id_go_by_their_texts(spark, pipeline):
+    words = [f"w{k}" for k in range(60)]
+    a, b, c = " ".join(words), " ".join(f"x{k}" for k in range(40)), " ".join(f"y{k}" for k in range(20))
+    near_b, near_c = b + " end", c + " end"
+    rows = [(1, a), (3, a), (3, b), (5, near_b), (3, c), (2, near_c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = Counter(tuple(r) for r in pipeline.near_dedup_stage(spark, docs, SF).collect())
+    assert out == Counter([(1, a), (3, b), (2, near_c)])
