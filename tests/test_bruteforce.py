@@ -14,7 +14,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import base_row, ids
+from rule_rows import base_row, ids
 
 from overspend.operators import detect as D
 from overspend.operators import rules as R

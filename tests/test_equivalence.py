@@ -8,7 +8,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from rule_rows import SF_SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E

@@ -8,7 +8,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF_SMALL, base_row
+from rule_rows import SF_SMALL, base_row
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

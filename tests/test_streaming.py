@@ -10,7 +10,7 @@ import tempfile
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF_SMALL, base_row
+from rule_rows import SF_SMALL, base_row
 
 from overspend.operators import rules as R
 from overspend.sources.fixtures import fixture_transactions
