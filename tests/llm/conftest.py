@@ -7,12 +7,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from llm_rows import EXTRA, SF  # noqa: E402
 from overspend.llm.common import importable  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-# columns that documents may carry and that must not disturb any operator
-EXTRA = "score double, start long, digest string, t string, rep long, n_words string, drop string, n_lines int, sig binary"
-
 
 @pytest.fixture(scope="session")
 def docs_of(spark):

@@ -9,7 +9,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from llm_rows import SF
 from overspend.llm import chat_quotes, packing, quality, vector_search
 from overspend.llm.catalog import tokenizer_path
 from pyspark.sql import functions as F

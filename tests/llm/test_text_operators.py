@@ -7,7 +7,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from llm_rows import SF
 from overspend.llm import catalog, decontamination, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, url_filter
 from overspend.llm.components import connected_components
 from overspend.llm.suffix_array import suffix_array
