@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_quotes, decontamination, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, url_filter, vector_search
+from . import (
+    chat_quotes,
+    decontamination,
+    fill_middle,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    url_filter,
+    vector_search,
+    whitening,
+)
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -81,6 +95,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # the exact deviation is a decimal; beyond the range of a long it is null here
+    return white.select("vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    dealt = sharding.shuffle_into_shards(docs, 16)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.to_fill_middle(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -92,6 +132,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_whitening": op11_whitening,
+    "op12_sharding": op12_sharding,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLE = {
@@ -180,5 +223,22 @@ WITH d AS (
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY k
+""",
+    "op13_fill_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), parts AS (
+  SELECT doc_id, n, form, text, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
