@@ -37,7 +37,8 @@ def fixed(c: Column | str, digits: int) -> Column:
 
 
 def iso_date(c: Column | str) -> Column:
-    return F.date_format(_col(c), "yyyy-MM-dd")
+    """yyyy-MM-dd: what a date is as a string (years 0000 to 9999)."""
+    return _col(c).cast("date").cast("string")
 
 
 def fmt_param(value: float, digits: int) -> str:

@@ -3,11 +3,11 @@ the run summary.
 
 Two equivalent plans are offered:
 
-* ``all_flags`` (default): price, SLA and spikes are evaluated on one scan of
-  the transactions, with the spike days (at most one row per calendar day)
-  broadcast. The day groups of Rule 1 also give the daily counts. Rows with
-  duplicate ids come from a semi-join. One plan at every size: nothing runs
-  while it is built, no frame stays persisted, no row count switches it.
+* ``all_flags`` (default): all four rules are evaluated on one pass over the
+  whole rows, to which spike days and flagged ids are joined; those come from
+  narrow passes. One row per (id, rule) is chosen before the texts of the
+  findings are built. One plan at every size: nothing runs while it is built,
+  no frame stays persisted, no row count switches it.
 * ``all_flags_union``: the four rule operators unioned by name, the plain
   composition; used as the cross-check.
 
@@ -97,25 +97,64 @@ def _explode_hits(frame: DataFrame, tx_columns: list[str], hits: list[Column]) -
     )
 
 
-def all_flags(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
-    cols = tx.columns
-    days = R.day_groups(tx)
-    spikes = R.spike_days_of(R.daily_rollup(days), p)
-    breach = R.breach_days(p.grace_days)
-    row_hits = [
-        F.when(R.price_hit(p.price_threshold), _hit(RULE_PRICE, R.price_detail(p.price_threshold), R.price_leakage(p.price_threshold))),
-        F.when(breach > 0, _hit(RULE_SLA, R.sla_detail(breach), R.sla_leakage(breach, p.penalty_per_day), breach=breach)),
-        F.when(
-            F.col("daily_count").isNotNull(),
-            _hit(RULE_SPIKE, R.spike_detail(p.spike_sigma), F.lit(0.0), daily=F.col("daily_count"),
-                 mean=F.col("rolling_mean"), std=F.col("rolling_std")),
-        ),
+def _built_in_hits(tx: DataFrame, p: DetectionParams) -> DataFrame:
+    """``tx`` with one row per rule that it hits, ``rule_triggered``, and what the findings are built from.
+
+    One pass over the whole rows: spike days come by a broadcast (at most one
+    row per calendar day), flagged ids by a join on the id. Texts and amounts
+    of the findings come later, in :func:`_finished`. ``_tie`` is a hash of
+    the whole transaction, taken before the rules, so that later steps need
+    only the columns they return.
+    """
+    hashed = [f"`{f.name}`" for f in tx.schema.fields if "map<" not in f.dataType.simpleString()]
+    spikes = R.spike_days(tx, p)
+    flagged = R.duplicate_ids(tx, p.window_days)
+    marked = tx.withColumn("_tie", F.xxhash64(*hashed)).join(F.broadcast(spikes), "date", "left")
+    same_id = marked["transaction_id"].eqNullSafe(flagged["_flagged_id"])
+    marked = marked.join(flagged.withColumn("_duplicate", F.lit(True)), same_id, "left").drop("_flagged_id")
+    hits = [
+        F.when(F.col("_duplicate"), F.lit(RULE_DUPLICATE)),
+        F.when(R.price_hit(p.price_threshold), F.lit(RULE_PRICE)),
+        F.when(R.breach_days(p.grace_days) > 0, F.lit(RULE_SLA)),
+        F.when(F.col("daily_count").isNotNull(), F.lit(RULE_SPIKE)),
     ]
-    by_row = _explode_hits(tx.join(F.broadcast(spikes), "date", "left"), cols, row_hits)
-    duplicates = R.duplicate_flags(R.with_ids(tx, R.duplicate_ids(tx, days, p.window_days)), p.window_days)
+    # explode + filter (both code-generated) rather than a higher-order array filter
+    return marked.withColumn("rule_triggered", F.explode(F.array(*hits))).filter(F.col("rule_triggered").isNotNull()).drop("_duplicate")
+
+
+def _finished(hits: DataFrame, cols: list[str], p: DetectionParams) -> DataFrame:
+    """Texts, amounts and statistics of the findings that are kept."""
+    rule, breach = F.col("rule_triggered"), R.breach_days(p.grace_days)
+
+    def by_rule(duplicate: Column, price: Column, sla: Column, spike: Column) -> Column:
+        return F.when(rule == RULE_DUPLICATE, duplicate).when(rule == RULE_PRICE, price).when(rule == RULE_SLA, sla).otherwise(spike)
+
+    made = {
+        "rule_detail": by_rule(
+            R.duplicate_detail(p.window_days), R.price_detail(p.price_threshold), R.sla_detail(breach), R.spike_detail(p.spike_sigma)
+        ),
+        "leakage_amount_gbp": by_rule(
+            F.col("invoice_amount"), R.price_leakage(p.price_threshold), R.sla_leakage(breach, p.penalty_per_day), F.lit(0.0)
+        ),
+        "breach_days": F.when(rule == RULE_SLA, breach),
+        **{c: F.when(rule == RULE_SPIKE, F.col(c)) for c in ("daily_count", "rolling_mean", "rolling_std")},
+    }
+    return hits.select(*[F.col(f"`{c}`") for c in cols], *[made.get(c, F.col(c)).cast(t).alias(c) for c, t in FLAG_TYPES.items()])
+
+
+def all_flags(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
+    """One row per (transaction_id, rule_triggered) that a rule finds.
+
+    Of several rows with one id, a rule keeps the earliest by date (no date:
+    last), then the one of smallest hash.
+    """
+    order = [F.col("date").asc_nulls_last(), F.col("_tie")]
+    w = Window.partitionBy("transaction_id", "rule_triggered").orderBy(*order)
+    hits = _built_in_hits(tx, p).withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") == 1)
+    flags = _finished(hits, tx.columns, p)
     # rules registered on top of the built-in four
-    more = [fn(tx, p) for name, fn in R.RULE_REGISTRY.items() if name not in R.BUILT_IN_RULES]
-    return dedupe_flags(_union([by_row, *[normalize_flags(f, cols) for f in (duplicates, *more)]]))
+    more = [normalize_flags(fn(tx, p), tx.columns) for name, fn in R.RULE_REGISTRY.items() if name not in R.BUILT_IN_RULES]
+    return dedupe_flags(_union([flags, *more])) if more else flags
 
 
 def run_detection(tx: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> tuple[DataFrame, DataFrame]:

@@ -185,6 +185,77 @@ def category_rule_leakage(scored: DataFrame) -> DataFrame:
     return totals.withColumn("bar_order", F.row_number().over(w))
 
 
+#: Grouping sets of ``breakdowns`` and their names.
+BREAKDOWNS = {
+    "rule": ("rule_triggered",),
+    "severity": ("severity",),
+    "category": ("category",),
+    "rule_severity": ("rule_triggered", "severity"),
+    "category_rule": ("category", "rule_triggered"),
+}
+
+
+def breakdowns(scored: DataFrame) -> DataFrame:
+    """All breakdowns of the report from one evaluation of the flags.
+
+    The flags are aggregated once, to (category, rule, severity), with partial
+    aggregation before the shuffle; the grouping sets then work on these few
+    rows. ``breakdown`` names the set; a column that is not in it is null, and
+    groups without a key are left out. ``with_amount`` counts flags with a
+    leakage. Totals are exact.
+    """
+    keys = ["category", "rule_triggered", "severity"]
+    labels = [x.lower() for x in SEVERITY_LABELS_DESC]
+    fine = scored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("flags"),
+        F.count("leakage_amount_gbp").alias("with_amount"),
+        exact_sum("leakage_amount_gbp").alias("_sum"),
+        F.max("leakage_amount_gbp").alias("_max"),
+    )
+    sets = fine.groupingSets([list(x) for x in BREAKDOWNS.values()], *keys).agg(
+        F.grouping_id().alias("_set"),
+        F.sum("flags").alias("flags"),
+        F.sum("with_amount").alias("with_amount"),
+        *[F.coalesce(F.sum(F.when(F.col("severity") == x, F.col("flags"))), F.lit(0)).alias(x.lower()) for x in SEVERITY_LABELS_DESC],
+        F.sum("_sum").alias("_sum"),
+        F.max("_max").alias("_max"),
+    )
+    # a bit of the grouping id is set for each key that the set leaves out
+    name, nameless = F.lit(None).cast("string"), F.lit(False)
+    for label, of in BREAKDOWNS.items():
+        bits = sum((c not in of) << (len(keys) - 1 - k) for k, c in enumerate(keys))
+        here = F.col("_set") == bits
+        name = F.when(here, F.lit(label)).otherwise(name)
+        for c in of:
+            nameless = nameless | (here & F.col(c).isNull())
+    return sets.where(~nameless).select(
+        name.alias("breakdown"),
+        *keys,
+        "flags",
+        "with_amount",
+        *labels,
+        F.bround(F.col("_sum"), 2).cast(MONEY).alias("leakage_gbp"),
+        F.bround(F.col("_sum") / F.col("flags"), 2).cast(MONEY).alias("avg_leakage_gbp"),
+        array_round(F.col("_max"), 2).alias("max_leakage_gbp"),
+    )
+
+
+def monthly_totals(tx: DataFrame, flags: DataFrame) -> DataFrame:
+    """Flags and leakage of every rule in every month from the first to the last transaction; zero where nothing was found."""
+    span = tx.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    months = span.select(F.explode(F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("interval 1 month"))).alias("month"))
+    calendar = months.withColumn("rule_triggered", F.explode(F.array(*[F.lit(r) for r in RULE_LABELS])))
+    found = flags.groupBy(F.trunc("date", "month").alias("month"), "rule_triggered").agg(
+        F.count(F.lit(1)).alias("flags"), money_total("leakage_amount_gbp").alias("leakage_gbp")
+    )
+    return calendar.join(found, ["month", "rule_triggered"], "left").select(
+        "month",
+        "rule_triggered",
+        F.coalesce("flags", F.lit(0).cast("long")).alias("flags"),
+        F.coalesce("leakage_gbp", F.lit(0).cast(MONEY)).alias("leakage_gbp"),
+    )
+
+
 def supplier_exposure(scored: DataFrame, n: int = DEFAULT_REPORT.exposure_suppliers) -> DataFrame:
     """Top-n suppliers × every rule seen among them, zero-filled.
 

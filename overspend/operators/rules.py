@@ -13,13 +13,13 @@ therefore found, as is an id that repeats on other days. It is planned as
 aggregates and joins instead of a window over raw rows:
 
 * ``day_groups``: one row per (supplier, rounded amount, date) with its row
-  count: a hash aggregation whose map-side partial aggregation collapses a
-  hot key before the shuffle;
+  count and first id: the map-side partial aggregation collapses a hot key
+  before the shuffle;
 * a window over those day rows finds the previous day of the same key; a
   key has at most one row per calendar day, so its window partition is
   bounded by the date span, never by the data volume;
-* the narrow (key, id) rows of the groups that flag anything are counted per
-  id, which tells the first row of a group from the others;
+* the narrow (key, id) rows of the groups that flag anything give the flagged
+  ids: all of a group but the first, or all;
 * the flagged ids select the rows by a semi-join, in which AQE splits a hot id.
 
 Nothing runs while a query is built, and nothing stays persisted.
@@ -54,15 +54,11 @@ def _keyed(tx: DataFrame) -> DataFrame:
 
 
 def day_groups(tx: DataFrame) -> DataFrame:
-    """One row per (supplier, amount key, date), nulls included, with its row count.
+    """One row per (supplier, amount key, date) without nulls: its row count and its first id (a struct, so null comes first).
 
-    Only fixed-width aggregates, so Spark plans a hash aggregation with
-    map-side partial aggregation. ``_usable`` marks keys without nulls: only
-    they can match. It is an aggregate, not a filter on the keys, so that the
-    daily counts and the duplicate groups share one exchange.
+    The map-side partial aggregation collapses a hot key before the shuffle.
     """
-    usable = F.col("supplier_id").isNotNull() & F.col("_amount_key").isNotNull() & F.col("date").isNotNull()
-    return amount_key(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(usable).alias("_usable"))
+    return _keyed(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("transaction_id")).alias("_first"))
 
 
 def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
@@ -75,24 +71,23 @@ def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
     """
     w = Window.partitionBy("supplier_id", "_amount_key").orderBy("date")
     gap = F.datediff(F.col("date"), F.lag("date").over(w))
-    flagged = days.filter("_usable").withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
+    flagged = days.withColumn("_first_hit", F.coalesce(gap <= F.lit(window_days), F.lit(False)))
     same_day = (F.col("_n") > 1) if window_days >= 0 else F.lit(False)
-    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_first_hit")
+    return flagged.filter(F.col("_first_hit") | same_day).select(*KEY, "_first_hit", "_first")
 
 
-def duplicate_ids(tx: DataFrame, days: DataFrame, window_days: int) -> DataFrame:
-    """Distinct ids that Rule 1 flags (a null id counts as an id)."""
-    rows = amount_key(tx).select(*KEY, "transaction_id").join(duplicate_groups(days, window_days), KEY)
-    counts = rows.groupBy(*KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"), F.max("_first_hit").alias("_hit"))
-    # the first row of a group without an earlier day is legitimate, unless its id is there again
-    first = counts.filter(~F.col("_hit")).groupBy(*KEY).agg(F.min(F.struct("transaction_id", "_c")).alias("_first"))
-    is_first = F.col("_first").isNotNull() & F.col("transaction_id").eqNullSafe(F.col("_first.transaction_id"))
-    return (
-        counts.join(first, KEY, "left")
-        .filter(~is_first | (F.col("_first._c") > 1))
-        .select(F.col("transaction_id").alias("_flagged_id"))
-        .distinct()
-    )
+def duplicate_ids(tx: DataFrame, window_days: int) -> DataFrame:
+    """Distinct ids that Rule 1 flags (a null id counts as an id).
+
+    Two narrow passes: the day groups, and the ids of those that flag. The
+    first row of a group without an earlier day is legitimate, unless its id
+    is there again.
+    """
+    groups = duplicate_groups(day_groups(tx), window_days)
+    rows = _keyed(tx).select(*KEY, "transaction_id").join(groups, KEY)
+    later = F.col("_first_hit") | ~F.col("_first.transaction_id").eqNullSafe(F.col("transaction_id"))
+    ids = rows.groupBy(*KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"), F.max(later).alias("_later"))
+    return ids.filter(F.col("_later") | (F.col("_c") > 1)).select(F.col("transaction_id").alias("_flagged_id")).distinct()
 
 
 def with_ids(tx: DataFrame, ids: DataFrame) -> DataFrame:
@@ -122,46 +117,38 @@ def duplicate_flags(rows: DataFrame, window_days: int) -> DataFrame:
 
 
 def detect_duplicates(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
-    return duplicate_flags(with_ids(tx, duplicate_ids(tx, day_groups(tx), window_days)), window_days)
+    return duplicate_flags(with_ids(tx, duplicate_ids(tx, window_days)), window_days)
 
 
 def detect_duplicates_pairwise(tx: DataFrame, window_days: int = DEFAULT_DETECTION.window_days) -> DataFrame:
-    """Rule 1 written as an interval self-join with bounded fan-out.
-
-    A row is flagged when a *preceding* row of the same key exists: on the
-    same day with a smaller id or its own id again, or on one of the
-    ``window_days`` previous days. The probed side is pre-aggregated to one row
-    per (key, day) and each day group is offered to the ``window_days + 1``
-    days it covers, so a row meets at most ``window_days + 1`` candidates: no
-    pair explosion in a hot group, but keep the window to days or weeks. An
-    independent cross-check of ``detect_duplicates``.
+    """Rule 1 written as an interval self-join, for windows of any length.
+
+    Days are cut into bins as wide as the window. A row has an earlier day of
+    its key within the window if its own bin has an earlier day, or if the
+    last day of the bin before is close enough; so a row meets two bins at
+    most, whatever the window, and a bin is one row per key, pre-aggregated.
+    Rows of one day are compared with the day's first id. An independent
+    cross-check of ``detect_duplicates``.
     """
     if window_days < 0:
         return duplicate_flags(tx.filter(F.lit(False)), window_days)
-    covers = (
-        _keyed(tx)
-        .groupBy(*KEY, "transaction_id")
+    rows = _keyed(tx).select(*KEY, "transaction_id")
+    first = (
+        rows.groupBy(*KEY, "transaction_id")
         .agg(F.count(F.lit(1)).alias("_c"))
         .groupBy(*KEY)
         .agg(F.min(F.struct("transaction_id", "_c")).alias("_first"))
-        .withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
-        .select(
-            F.col("supplier_id").alias("_s"),
-            F.col("_amount_key").alias("_k"),
-            F.date_add(F.col("date"), F.col("_back")).alias("_d"),
-            "_back",
-            F.col("_first.transaction_id").alias("_first_id"),
-            F.col("_first._c").alias("_first_c"),
-        )
-    )
-    probes = _keyed(tx).select(*KEY, "transaction_id")
-    cond = (
-        (probes.supplier_id == covers._s)
-        & (probes._amount_key == covers._k)
-        & (probes.date == covers._d)
-        & ((covers._back > 0) | ~covers._first_id.eqNullSafe(probes.transaction_id) | (covers._first_c > 1))
     )
-    ids = probes.join(covers, cond, "left_semi").select(F.col("transaction_id").alias("_flagged_id")).distinct()
+    again = ~F.col("_first.transaction_id").eqNullSafe(F.col("transaction_id")) | (F.col("_first._c") > 1)
+    found = rows.join(first, KEY).filter(again).select("transaction_id")
+    if window_days > 0:
+        bin_of = F.floor(F.unix_date("date") / F.lit(int(window_days)))
+        binned = rows.withColumn("_bin", bin_of)
+        bins = binned.groupBy("supplier_id", "_amount_key", "_bin").agg(F.min("date").alias("_from"), F.max("date").alias("_to"))
+        offered = bins.withColumn("_next", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_bin", F.col("_bin") + F.col("_next"))
+        near = F.when(F.col("_next") == 0, F.col("_from") < F.col("date")).otherwise(F.datediff("date", "_to") <= window_days)
+        found = found.unionByName(binned.join(offered, ["supplier_id", "_amount_key", "_bin"]).filter(near).select("transaction_id"))
+    ids = found.select(F.col("transaction_id").alias("_flagged_id")).distinct()
     return duplicate_flags(with_ids(tx, ids), window_days)
 
 
@@ -252,12 +239,6 @@ def daily_counts(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col("date").isNotNull()).groupBy("date").agg(F.count(F.lit(1)).alias("daily_count"))
 
 
-def daily_rollup(days: DataFrame) -> DataFrame:
-    """The same counts from the day groups of Rule 1."""
-    daily = days.groupBy("date").agg(F.sum("_n").alias("daily_count"), F.max("date").alias("_day"))
-    return daily.filter(F.col("_day").isNotNull()).select("date", "daily_count")
-
-
 def volume_baseline_from(daily: DataFrame, p: DetectionParams = DEFAULT_DETECTION) -> DataFrame:
     """Rolling baseline over the previous ``rolling_window`` observed days.
 

@@ -190,9 +190,18 @@ def q_dedup_flags(spark, sf_dir):
 
 
 def q_empty_totals(spark, sf_dir):
-    # totals of a run without any finding: zero, not null
-    tx = transactions(spark, sf_dir).filter(F.col("supplier_id") == "")
-    return D.run_summary(tx, D.all_flags(tx, DEFAULT_DETECTION))
+    # every rule in every month: zero, not null or missing, where nothing was found
+    tx = transactions(spark, sf_dir)
+    return P.monthly_totals(tx, D.all_flags(tx, DEFAULT_DETECTION))
+
+
+def q_duplicates_window30(spark, sf_dir):
+    # about a month: every pair of days of a key within it
+    return R.detect_duplicates_pairwise(transactions(spark, sf_dir), 30)
+
+
+def q_breakdowns(spark, sf_dir):
+    return P.breakdowns(scored(spark, sf_dir))
 
 
 def q_rule_quality(spark, sf_dir):
@@ -209,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "flagged_items": q_flagged_items,
     "duplicates": q_duplicates,
     "duplicates_pairwise": q_duplicates_pairwise,
+    "duplicates_window30": q_duplicates_window30,
     "daily_counts": q_daily_counts,
     "run_summary": q_run_summary,
     "leakage_by_rule": q_leakage_by_rule,
@@ -222,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "severity_heatmap": q_severity_heatmap,
     "supplier_exposure": q_supplier_exposure,
     "category_rule_leakage": q_category_rule_leakage,
+    "breakdowns": q_breakdowns,
     "kpi_tiles": q_kpi_tiles,
     "rule_run_stats": q_rule_run_stats,
     "volume_baseline": q_volume_baseline,

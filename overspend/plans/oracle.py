@@ -18,7 +18,7 @@ from ..config import DEFAULT_DETECTION as DP
 from ..config import DEFAULT_REPORT as RP
 from ..config import DEFAULT_SCORING as SP
 from ..constants import ACTIONS, ALERT_NO_ITEMS, KPI_LABELS, RULE_LABELS, RULE_LABELS_SHORT, SEVERITY_RANK
-from ..operators.report import DETAIL_HEADERS
+from ..operators.report import BREAKDOWNS, DETAIL_HEADERS
 from ..sources.fixtures import COPY_EVERY, EXPECTED_DAYS
 
 
@@ -138,7 +138,7 @@ CTES = {
   UNION ALL
   SELECT *, true AS is_copy FROM li WHERE l_orderkey % {COPY_EVERY} = 0  -- lines that also get a re-billed copy
 )""",
-    "tx": f"""tx AS (
+    "tx": f"""tx AS MATERIALIZED (
   SELECT
     CASE WHEN is_copy THEN 'DUP-' || {_base_id} ELSE {_base_id} END AS transaction_id,
     CASE WHEN is_copy THEN ship + 1 ELSE ship END AS date,
@@ -156,15 +156,15 @@ CTES = {
     CASE WHEN is_copy THEN 'duplicate' ELSE '' END AS anomaly_type
   FROM li2
 )""",
-    "dups": f"""dups AS (
-  SELECT {TXC} FROM tx WHERE transaction_id IN (
-    SELECT transaction_id FROM (
-      SELECT transaction_id, date,
-             lag(date) OVER (PARTITION BY supplier_id, round_even(invoice_amount, 0) ORDER BY date, transaction_id) AS prev_date
-      FROM tx
-      WHERE supplier_id IS NOT NULL AND invoice_amount IS NOT NULL AND date IS NOT NULL
-    ) WHERE prev_date IS NOT NULL AND CAST(date - prev_date AS INTEGER) <= {W}
-  )
+    "dups": f"""dup_ids AS MATERIALIZED (
+  SELECT DISTINCT transaction_id FROM (
+    SELECT transaction_id, date,
+           lag(date) OVER (PARTITION BY supplier_id, round_even(invoice_amount, 0) ORDER BY date, transaction_id) AS prev_date
+    FROM tx
+    WHERE supplier_id IS NOT NULL AND invoice_amount IS NOT NULL AND date IS NOT NULL
+  ) WHERE prev_date IS NOT NULL AND CAST(date - prev_date AS INTEGER) <= {W}
+), dups AS (
+  SELECT {TXC} FROM tx SEMI JOIN dup_ids USING (transaction_id)
 )""",
     "dup_flags": f"""dup_flags AS (
   {_flag_select('duplicate', "'Duplicate of supplier ' || supplier_id || ' invoice £' || " + grouped('invoice_amount', 2) + f" || ' within {W}d window'", 'invoice_amount')}
@@ -336,7 +336,6 @@ ORACLE: dict[str, str] = {
     "price_variance": sql(f"SELECT {TXC}, {_ROUT} FROM price_flags", "price_flags"),
     "sla_breach": sql(f"SELECT {TXC}, breach_days, {_ROUT} FROM sla_flags", "sla_flags"),
     "duplicates": sql(f"SELECT {TXC}, {_ROUT} FROM dup_flags", "dup_flags"),
-    "duplicates_pairwise": sql(f"SELECT {TXC}, {_ROUT} FROM dup_flags", "dup_flags"),
     "daily_counts": sql("SELECT date, daily_count FROM daily", "daily"),
     "volume_baseline": sql(
         f"SELECT date, daily_count, {_r6('rolling_mean')}, {_r6('rolling_std')}, {_r6('upper_bound')}, is_spike FROM baseline",
@@ -519,8 +518,49 @@ _repeated = f"""tx AS (
   UNION ALL SELECT * REPLACE (date + 1 AS date) FROM tx0 WHERE {_order} % 11 = 0
 )"""
 ORACLE["dedup_flags"] = sql("SELECT transaction_id, rule_triggered, date, rule_detail, leakage_amount_gbp FROM flags", "flags").replace(
-    CTES["tx"], CTES["tx"].replace("tx AS (", "tx0 AS (", 1) + ",\n" + _repeated
+    CTES["tx"], CTES["tx"].replace("tx AS MATERIALIZED (", "tx0 AS MATERIALIZED (", 1) + ",\n" + _repeated
 )
-ORACLE["empty_totals"] = ORACLE["run_summary"].replace(
-    CTES["tx"], CTES["tx"].replace("tx AS (", "tx0 AS (", 1) + ",\ntx AS (SELECT * FROM tx0 WHERE supplier_id = '')"
+ORACLE["empty_totals"] = sql(
+    f"""SELECT c.month, c.rule_triggered, COALESCE(f.flags, 0) AS flags, COALESCE(f.leakage_gbp, CAST(0 AS DECIMAL(38,2))) AS leakage_gbp
+FROM (SELECT CAST(m AS DATE) AS month, r AS rule_triggered
+      FROM (SELECT unnest(generate_series(date_trunc('month', min(date)), date_trunc('month', max(date)), INTERVAL 1 MONTH)) AS m FROM tx),
+           (VALUES {", ".join(f"({q(r)})" for r in RULE_LABELS)}) v(r)) c
+LEFT JOIN (SELECT CAST(date_trunc('month', date) AS DATE) AS month, rule_triggered, count(*) AS flags, {money_total(_x)} AS leakage_gbp
+           FROM flags GROUP BY 1, 2) f
+  ON f.month = c.month AND f.rule_triggered = c.rule_triggered""",
+    "flags", "tx",
 )
+
+
+def _pairwise(window: int) -> str:
+    """Rule 1 as a self-join over a range of days."""
+    detail = "'Duplicate of supplier ' || supplier_id || ' invoice £' || " + grouped("invoice_amount", 2) + f" || ' within {window}d window'"
+    return sql(
+        f"""SELECT {TXC}, 'duplicate' AS rule_triggered, {detail} AS rule_detail, invoice_amount AS leakage_amount_gbp
+FROM tx SEMI JOIN (
+  WITH k AS (SELECT supplier_id AS s, round_even(invoice_amount, 0) AS a, date AS d, transaction_id AS i FROM tx)
+  SELECT DISTINCT later.i AS transaction_id
+  FROM k earlier JOIN k later ON earlier.s = later.s AND earlier.a = later.a AND earlier.d <= later.d AND later.d <= earlier.d + {window}
+  WHERE earlier.d < later.d OR earlier.i < later.i
+) USING (transaction_id)""",
+        "tx",
+    )
+
+
+ORACLE["duplicates_pairwise"] = _pairwise(W)
+ORACLE["duplicates_window30"] = _pairwise(30)
+
+_keys = ("category", "rule_triggered", "severity")
+
+
+def _breakdown(name: str, of: tuple[str, ...]) -> str:
+    keys = ", ".join(c if c in of else f"CAST(NULL AS VARCHAR) AS {c}" for c in _keys)
+    by_severity = ", ".join(f"count(*) FILTER (WHERE severity = {q(x)}) AS {x.lower()}" for x in ("Critical", "High", "Medium", "Low"))
+    return (
+        f"SELECT {q(name)} AS breakdown, {keys}, count(*) AS flags, count({_x}) AS with_amount, {by_severity}, "
+        f"{money_total(_x)} AS leakage_gbp, CAST(round_even({exact_sum(_x)} / count(*), 2) AS DECIMAL(38,2)) AS avg_leakage_gbp, "
+        f"{array_round(f'max({_x})', 2)} AS max_leakage_gbp FROM scored WHERE {' AND '.join(f'{c} IS NOT NULL' for c in of)} GROUP BY {', '.join(of)}"
+    )
+
+
+ORACLE["breakdowns"] = sql("\nUNION ALL\n".join(_breakdown(n, of) for n, of in BREAKDOWNS.items()), "scored")

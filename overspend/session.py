@@ -43,6 +43,8 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of every column expression cost more than the expressions (set before the session starts)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # remove checkpoint files once their data is no longer referenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
