@@ -33,6 +33,16 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "error", by: str = "
     df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, by: str = "date") -> None:
+    """Write the days of ``df`` into a table of :func:`write_partitioned`, in place of those days alone.
+
+    A day that is delivered again replaces its own folder; the files of all
+    other days stay as they are. A day without rows in ``df`` is not touched.
+    """
+    out = df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(by).parquet(path)
+
+
 def write_report(tx: DataFrame, scored: DataFrame, out_dir: str, p: ReportParams = DEFAULT_REPORT,
                  mode: str = "error") -> dict[str, str]:
     """The three report sections as one folder per table (Parquet).

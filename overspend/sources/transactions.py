@@ -83,6 +83,39 @@ def coerce_transactions(df: DataFrame) -> DataFrame:
     return df.withColumns(replacements)
 
 
+def split_rejects(lines: DataFrame, corrupt: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of raw string rows, for sources that must go on after a bad line.
+
+    ``good`` is coerced as by :func:`coerce_transactions`. A row with a
+    present but unreadable date is rejected, once for each such column, as
+    (line, column, reason); so is a row that the CSV reader could not cut,
+    if ``corrupt`` names the column where it put the line.
+    """
+    check_columns(lines)
+    names = [c for c in lines.columns if c != corrupt]
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    bad = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).cast("string").try_cast("date").isNull(),
+            F.struct(F.lit(c).alias("column"), F.concat(F.lit("unparseable date: "), F.col(c).cast("string")).alias("reason")),
+        )
+        for c in DATE_COLUMNS
+        if not isinstance(types[c], (T.DateType, T.TimestampType, T.TimestampNTZType))
+    ]
+    none = F.lit(None).cast("struct<column:string,reason:string>")
+    line = F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in names]))
+    found = F.array_compact(F.array(none, *bad))
+    if corrupt:
+        cut = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit("not as many values as columns").alias("reason")))
+        found = F.when(F.col(corrupt).isNotNull(), cut).otherwise(found)
+        line = F.coalesce(F.col(corrupt), line)
+    judged = lines.withColumn("_bad", found)
+    rejects = judged.select(line.alias("line"), F.explode("_bad").alias("b")).select("line", "b.column", "b.reason")
+    # dates of good rows are cast before the strict check: Spark may evaluate it ahead of the filter
+    dates = {c: F.col(c).cast("string").try_cast("date") for c in DATE_COLUMNS if isinstance(types[c], T.StringType)}
+    return coerce_transactions(judged.filter(F.size("_bad") == 0).select(*names).withColumns(dates)), rejects
+
+
 def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Read a transaction table (CSV with header, or Parquet) and coerce it.
 

@@ -10,12 +10,14 @@ under folders the caller gives (shared storage on a cluster).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT_DETECTION, DEFAULT_REPORT, DetectionParams, ReportParams
 from ..constants import RULE_SPIKE
@@ -23,13 +25,13 @@ from ..operators import report as P
 from ..operators import rules as R
 from ..operators.detect import dedupe_flags, normalize_flags
 from ..operators.score import score_flags
+from ..sources.transactions import split_rejects
+from . import state
 from .rules import stream_daily_counts, stream_row_flags
+from .state import batch_dir
 
 LATENESS_DAYS = 2
-
-
-def _batch_dir(folder: str, batch_id: int) -> str:
-    return os.path.join(folder, f"batch_id={batch_id}")
+CORRUPT = "_line"
 
 
 def _once(process: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -59,12 +61,12 @@ def judge_days(spark: SparkSession, new_days: DataFrame, batch_id: int, history_
     The baseline of a new day uses the previous ``rolling_window`` observed
     days of the whole history (one row per day, so this stays small).
     """
-    new_days.write.mode("overwrite").parquet(_batch_dir(history_dir, batch_id))
+    new_days.write.mode("overwrite").parquet(batch_dir(history_dir, batch_id))
     history = spark.read.parquet(history_dir)
     verdicts = R.volume_baseline_from(history.select("date", "daily_count"), p).join(
         new_days.select("date"), "date", "left_semi"
     )
-    verdicts.write.mode("overwrite").parquet(_batch_dir(verdict_dir, batch_id))
+    verdicts.write.mode("overwrite").parquet(batch_dir(verdict_dir, batch_id))
 
 
 def start_spike_monitor(stream: DataFrame, history_dir: str, verdict_dir: str, checkpoint: str,
@@ -84,14 +86,18 @@ STATE_SCHEMA = "supplier_id string, _amount_key double, date date, transaction_i
 
 
 def flag_duplicates_batch(batch: DataFrame, batch_id: int, state_dir: str, window_days: int, horizon_days: int) -> DataFrame:
-    """Rule 1 on one micro-batch against the stored recent day groups; writes the next state.
+    """Rule 1 on one micro-batch: all its rows with an id of :func:`duplicate_ids_of_batch`."""
+    return R.duplicate_flags(R.with_ids(batch, duplicate_ids_of_batch(batch, batch_id, state_dir, window_days, horizon_days)), window_days)
+
+
+def duplicate_ids_of_batch(batch: DataFrame, batch_id: int, state_dir: str, window_days: int, horizon_days: int) -> DataFrame:
+    """The ids that Rule 1 flags in one micro-batch against the stored recent day groups; writes the next state.
 
     The state has, for each (supplier, amount key, day), the smallest id and
     its row count. The batch is counted per (key, day, id) with map-side
     partial aggregation and merged with it; a row's id is flagged if the key
     has an earlier day within ``window_days``, or if the day's first id is
-    another one or is there again. All rows of the batch with a flagged id are
-    returned. On date-ordered input this is the batch rule; verdicts already
+    another one or is there again. On date-ordered input this is the batch rule; verdicts already
     given are not revised.
 
     State version ``batch_id`` keeps the days from ``horizon_days`` before the
@@ -103,7 +109,7 @@ def flag_duplicates_batch(batch: DataFrame, batch_id: int, state_dir: str, windo
     new = R._keyed(batch).groupBy(*R.KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"))
     known = new
     if batch_id > 0:
-        known = spark.read.schema(STATE_SCHEMA).parquet(_batch_dir(state_dir, batch_id - 1)).unionByName(new)
+        known = spark.read.schema(STATE_SCHEMA).parquet(batch_dir(state_dir, batch_id - 1)).unionByName(new)
     firsts = (
         known.groupBy(*R.KEY, "transaction_id")
         .agg(F.sum("_c").alias("_c"))
@@ -120,8 +126,8 @@ def flag_duplicates_batch(batch: DataFrame, batch_id: int, state_dir: str, windo
     keep = days if today is None else days.filter(F.col("date") >= F.date_sub(F.lit(today), horizon_days))
     keep.select(*R.KEY, F.col("_first.transaction_id").alias("transaction_id"), F.col("_first._c").alias("_c")).write.mode(
         "overwrite"
-    ).parquet(_batch_dir(state_dir, batch_id))
-    return R.duplicate_flags(R.with_ids(batch, ids), window_days)
+    ).parquet(batch_dir(state_dir, batch_id))
+    return ids
 
 
 def _checked_horizon(window_days: int, horizon_days: int | None, lateness_days: int) -> int:
@@ -145,7 +151,7 @@ def start_duplicate_monitor(stream: DataFrame, state_dir: str, out_dir: str, che
 
     def process(batch: DataFrame, batch_id: int) -> None:
         flags = flag_duplicates_batch(batch, batch_id, state_dir, window_days, horizon)
-        flags.write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id))
+        flags.write.mode("overwrite").parquet(batch_dir(out_dir, batch_id))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_once(process))
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -166,11 +172,11 @@ def spike_flags_of_closed_days(spark: SparkSession, out_dir: str, batch_id: int,
     if batch_id != 0:
         old = spark.read.schema("date date, is_spike boolean, batch_id int").parquet(table("judged"))
         closed = closed.join(old.filter(F.col("batch_id") != batch_id).select("date"), "date", "left_anti")
-    closed.select("date", "is_spike").write.mode("overwrite").parquet(_batch_dir(table("judged"), batch_id))
-    judged = spark.read.parquet(_batch_dir(table("judged"), batch_id)).filter("is_spike").select("date")
+    closed.select("date", "is_spike").write.mode("overwrite").parquet(batch_dir(table("judged"), batch_id))
+    judged = spark.read.parquet(batch_dir(table("judged"), batch_id)).filter("is_spike").select("date")
     spikes = verdicts.join(judged, "date", "left_semi").select("date", "daily_count", "rolling_mean", "rolling_std")
-    rows = spark.read.schema(schema).parquet(table("transactions"))
-    # at most one row per calendar day
+    # stored by date: only the folders of spike days are read; at most one row per calendar day
+    rows = stored_transactions(spark, out_dir, schema, batch_id)
     return rows.join(F.broadcast(spikes), "date").select(
         *rows.columns,
         "daily_count",
@@ -182,60 +188,115 @@ def spike_flags_of_closed_days(spark: SparkSession, out_dir: str, batch_id: int,
     )
 
 
+def stored_transactions(spark: SparkSession, out_dir: str, schema, batch_id: int, with_itself: bool = True) -> DataFrame:
+    """Transactions of all batches up to this one; a filter or broadcast join on the date reads only its folders."""
+    rows = spark.read.schema(schema).parquet(os.path.join(out_dir, "transactions"))
+    return state.before(rows, batch_id, with_itself).select(*[f.name for f in schema.fields])
+
+
+def _rows_of_repeated_ids(batch: DataFrame, ids: DataFrame, batch_id: int, out_dir: str, since) -> DataFrame:
+    """Rows of the batch and of earlier ones whose id Rule 1 flags: the earliest of an id is the one that is reported.
+
+    Earlier rows are found by their ids and dates alone; whole rows are read
+    only on the days where a flagged id was seen before.
+    """
+    mine = R.with_ids(batch, ids)
+    if state.turn(batch_id) == 0:
+        return mine
+    old = stored_transactions(batch.sparkSession, out_dir, batch.schema, batch_id, with_itself=False)
+    if since is not None:
+        old = old.filter(F.col("date") >= F.lit(since))
+    days = R.with_ids(old.select("transaction_id", "date"), ids).select(F.col("date").alias("_day")).distinct()
+    # at most one row per calendar day
+    return mine.unionByName(R.with_ids(old.join(F.broadcast(days), F.col("date") == F.col("_day"), "left_semi"), ids))
+
+
 def detect_batch(batch: DataFrame, batch_id: int, out_dir: str, p: DetectionParams = DEFAULT_DETECTION,
-                 rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS) -> None:
-    """All four rules on one micro-batch: its flags and its alert digest.
+                 rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS, repeat_days: int | None = None) -> None:
+    """All four rules on one micro-batch: its flags, its alert digest and the summary so far.
 
     Tables under ``out_dir``, one folder per batch in each: transactions (what
-    came), days (counts), duplicates (state), judged (closed days), flags, alerts.
+    came, by date), days (counts), duplicates (state), judged (closed days),
+    flags (new findings), found and partials (see :mod:`.state`), alerts (digest
+    of the batch) and summary (of all batches so far).
+
+    A finding is given once per (id, rule) over all batches. ``repeat_days``:
+    how long an id may come again; older keys expire (None: never).
     """
     spark = batch.sparkSession
     cols = batch.columns
-    batch.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "transactions"), batch_id))
-    R.daily_counts(batch).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "days"), batch_id))
+    batch.write.mode("overwrite").partitionBy("date").parquet(batch_dir(os.path.join(out_dir, "transactions"), batch_id))
+    R.daily_counts(batch).write.mode("overwrite").parquet(batch_dir(os.path.join(out_dir, "days"), batch_id))
     horizon = _checked_horizon(p.window_days, None, lateness_days)
-    duplicates = flag_duplicates_batch(batch, batch_id, os.path.join(out_dir, "duplicates"), p.window_days, horizon)
     today = current_day(batch)
-    flags = [stream_row_flags(batch, p), duplicates]
+    since = None if repeat_days is None or today is None else today - dt.timedelta(days=repeat_days)
+    ids = duplicate_ids_of_batch(batch, batch_id, os.path.join(out_dir, "duplicates"), p.window_days, horizon)
+    repeated = R.duplicate_flags(_rows_of_repeated_ids(batch, ids, batch_id, out_dir, since), p.window_days)
+    flags = [stream_row_flags(batch, p), repeated]
     if today is not None:
-        before = spark.range(1).select(F.date_sub(F.lit(today), lateness_days)).first()[0]
-        flags.append(spike_flags_of_closed_days(spark, out_dir, batch_id, before, p, batch.schema))
-    _write_flags(batch, flags, cols, out_dir, batch_id, rp)
+        flags.append(spike_flags_of_closed_days(spark, out_dir, batch_id, today - dt.timedelta(days=lateness_days), p, batch.schema))
+    _write_flags(batch, flags, cols, out_dir, batch_id, rp, since)
 
 
-def _write_flags(tx: DataFrame, flags: list[DataFrame], cols: list[str], out_dir: str, batch_id: int, rp: ReportParams) -> None:
+def _write_flags(tx: DataFrame, flags: list[DataFrame], cols: list[str], out_dir: str, batch_id: int, rp: ReportParams, since=None) -> None:
     every = normalize_flags(flags[0], cols)
     for f in flags[1:]:
         every = every.unionByName(normalize_flags(f, cols), allowMissingColumns=True)
-    path = _batch_dir(os.path.join(out_dir, "flags"), batch_id)
-    dedupe_flags(every).write.mode("overwrite").parquet(path)
-    scored = score_flags(tx.sparkSession.read.parquet(path))
+    path = batch_dir(os.path.join(out_dir, "flags"), batch_id)
+    new = state.not_found_before(dedupe_flags(every), batch_id, out_dir, since)
+    new.write.mode("overwrite").parquet(path)
+    spark = tx.sparkSession
+    scored = score_flags(spark.read.schema(new.schema).parquet(path))
+    state.remember(scored, batch_id, out_dir)
+    state.write_partials(tx, scored, batch_id, out_dir)
+    state.summary_so_far(spark, out_dir, batch_id).write.mode("overwrite").parquet(batch_dir(os.path.join(out_dir, "summary"), batch_id))
     digest = P.alert_payload(P.alert_digest(P.executive_summary(tx, scored), scored, rp))
-    digest.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_dir, "alerts"), batch_id))
+    digest.write.mode("overwrite").parquet(batch_dir(os.path.join(out_dir, "alerts"), batch_id))
 
 
 def start_detection(stream: DataFrame, out_dir: str, checkpoint: str, p: DetectionParams = DEFAULT_DETECTION,
-                    rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS, trigger: dict | None = None):
+                    rp: ReportParams = DEFAULT_REPORT, lateness_days: int = LATENESS_DAYS, trigger: dict | None = None,
+                    repeat_days: int | None = None):
     """R4, R5: all four rules and the alert digest on every micro-batch."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        _once(lambda df, bid: detect_batch(df, bid, out_dir, p, rp, lateness_days))
+        _once(lambda df, bid: detect_batch(df, bid, out_dir, p, rp, lateness_days, repeat_days))
     )
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def run_incremental(spark: SparkSession, landing_dir: str, schema, out_dir: str, checkpoint: str,
                     p: DetectionParams = DEFAULT_DETECTION, rp: ReportParams = DEFAULT_REPORT,
-                    lateness_days: int = LATENESS_DAYS, files_per_batch: int | None = None) -> None:
+                    lateness_days: int = LATENESS_DAYS, files_per_batch: int | None = None,
+                    fmt: str = "parquet", repeat_days: int | None = None) -> None:
     """R4: one exactly-once pass of all four rules over files not yet processed.
 
     The checkpoint remembers which files were processed, so calling this daily
     processes each file once. Days that may still get rows stay open;
     :func:`close_days` judges them at the end of a period.
+
+    ``fmt`` "csv": files with a header; their lines are read as strings and
+    coerced as in the batch reader, but a line with a bad date, or with more
+    or fewer values than the header, goes to the table ``rejects`` (line,
+    column, reason; one row per bad column) and the others go on.
     """
-    reader = spark.readStream.schema(schema)
+    if fmt not in ("parquet", "csv"):
+        raise ValueError("the landing folder holds parquet or csv")
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    start_detection(reader.parquet(landing_dir), out_dir, checkpoint, p, rp, lateness_days).awaitTermination()
+    if fmt == "parquet":
+        start_detection(reader.schema(schema).parquet(landing_dir), out_dir, checkpoint, p, rp, lateness_days, repeat_days=repeat_days).awaitTermination()
+        return
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
+    lines = reader.schema(strings).option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT).csv(landing_dir)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        good, rejects = split_rejects(batch, CORRUPT)
+        rejects.write.mode("overwrite").parquet(batch_dir(os.path.join(out_dir, "rejects"), batch_id))
+        typed = good.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        detect_batch(typed, batch_id, out_dir, p, rp, lateness_days, repeat_days)
+
+    lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_once(process)).trigger(availableNow=True).start().awaitTermination()
 
 
 def close_days(spark: SparkSession, out_dir: str, schema, p: DetectionParams = DEFAULT_DETECTION, rp: ReportParams = DEFAULT_REPORT) -> None:
@@ -243,5 +304,5 @@ def close_days(spark: SparkSession, out_dir: str, schema, p: DetectionParams = D
     last = spark.read.parquet(os.path.join(out_dir, "days")).agg(F.max("batch_id")).first()[0]
     batch_id = -1 - last
     spikes = spike_flags_of_closed_days(spark, out_dir, batch_id, None, p, schema)
-    tx = spark.read.schema(schema).parquet(os.path.join(out_dir, "transactions")).limit(0)
+    tx = stored_transactions(spark, out_dir, schema, batch_id).limit(0)
     _write_flags(tx, [spikes], [f.name for f in schema.fields], out_dir, batch_id, rp)

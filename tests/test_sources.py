@@ -140,3 +140,21 @@ def test_materialized_table_gives_same_flags(spark):
         return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
 
     assert rows(D.all_flags(back.select(*tx.columns))) == rows(D.all_flags(tx))
+
+
+def test_a_delivered_day_replaces_itself_alone(spark, make_tx, tmp_path):
+    from overspend.sources.sinks import replace_days
+
+    def files():
+        return {os.path.relpath(os.path.join(d, f), path): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+    path = str(tmp_path / "table")
+    rows = [base_row(transaction_id=f"T{i}", date=dt.date(2024, 1, 1 + i % 3)) for i in range(9)]
+    write_partitioned(make_tx(rows), path)
+    old = files()
+    again = [base_row(transaction_id=f"N{i}", date=dt.date(2024, 1, 2)) for i in range(2)]
+    replace_days(make_tx(again), path)
+    kept = {k: v for k, v in old.items() if "2024-01-02" not in k}
+    assert {k: v for k, v in files().items() if "2024-01-02" not in k} == kept and len(kept) >= 2
+    got = spark.read.parquet(path)
+    assert sorted(r[0] for r in got.select("transaction_id").collect()) == sorted(["N0", "N1", *[r["transaction_id"] for r in rows if r["date"].day != 2]])

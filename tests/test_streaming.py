@@ -175,3 +175,111 @@ def test_event_stream_duplicates_equal_batch(spark):
     want = sorted(r[0] for r in R.detect_duplicates(ev).select("transaction_id").collect())
     assert _monitor(spark, folder, files=8) == want
     assert len(want) == 32
+
+
+# --- state over batches ----------------------------------------------------------------------
+
+def _land(spark, folder, k, rows):
+    """One file of rows, the ``k``-th to arrive."""
+    types = {"string": pa.string(), "date": pa.date32(), "double": pa.float64(), "boolean": pa.bool_()}
+    schema = pa.schema([(f.name, types[f.dataType.simpleString()]) for f in TRANSACTION_SCHEMA.fields])
+    path = os.path.join(folder, f"day-{k:04d}.parquet")
+    pq.write_table(pa.Table.from_pylist(rows, schema=schema), path)
+    os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+def _repeating_days():
+    """Rows in date order whose ids come again, in the same batch and in later ones."""
+    late = {"expected_delivery_date": dt.date(2023, 5, 1), "actual_delivery_date": dt.date(2023, 5, 9)}
+    first = [_row("A", 0), _row("B", 0, supplier_id="s2", **late), _row("C", 0, supplier_id="s3", invoice_amount=500.0), _row("D", 0, supplier_id="s4")]
+    second = [_row("A", 1), _row("B", 1, supplier_id="s5", invoice_amount=900.0, **late), _row("C", 1, supplier_id="s6"), _row("E", 1, supplier_id="s7")]
+    third = [_row("C", 2, supplier_id="s8", invoice_amount=700.0), _row("F", 2, supplier_id="s4", **late), _row("E", 2, supplier_id="s7"), _row("E", 2, supplier_id="s7"),
+             _row(None, 2, supplier_id="s9", **late)]
+    fourth = [_row(None, 3, supplier_id="sA", **late), _row("G", 3, supplier_id="sB", invoice_amount=400.0), _row("D", 3, supplier_id="sC", invoice_amount=90.0)]
+    return [first, second, third, fourth]
+
+
+def _summary(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_findings_are_given_once_over_all_batches(spark, make_tx):
+    """After every batch the findings so far, and the stored summary, are those of all rows so far."""
+    from overspend.operators import report as P
+    from overspend.streaming.jobs import detect_batch
+
+    out, seen = tempfile.mkdtemp(prefix="overspend-once-"), []
+    flags = os.path.join(out, "flags")
+    for k, rows in enumerate(_repeating_days()):
+        seen += rows
+        for _ in range(2 if k == 2 else 1):  # a replayed batch changes nothing
+            detect_batch(make_tx(rows), k, out)
+        so_far = make_tx(seen)
+        want = all_flags(so_far)
+        cols = ["transaction_id", "rule_triggered", "date", "rule_detail", "leakage_amount_gbp"]
+        assert sorted(map(str, spark.read.parquet(flags).select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+        stored = spark.read.parquet(os.path.join(out, "summary", f"batch_id={k}"))
+        summary = P.executive_summary(so_far, score_flags(want))
+        assert stored.columns == summary.columns and _summary(stored) == _summary(summary)
+    assert len(want.collect()) == 8
+
+
+def test_keys_expire(spark, make_tx):
+    from overspend.streaming import state
+    from overspend.streaming.jobs import detect_batch
+
+    out = tempfile.mkdtemp(prefix="overspend-expiry-")
+    dear = {"invoice_amount": 500.0}
+    batches = [[_row("A", 0, **dear)], [_row("A", 5, **dear)], [_row("A", 40, **dear)]]
+    for k, rows in enumerate(batches):
+        detect_batch(make_tx(rows), k, out, repeat_days=10)
+    got = spark.read.parquet(os.path.join(out, "flags"))
+    assert sorted(str(r["date"]) for r in got.collect()) == ["2023-05-01", "2023-06-10"]  # the second was known, the third long after
+    assert state.expire(spark, out, dt.date(2023, 5, 20)) == [0]
+
+
+def test_incremental_summary_equals_batch(spark, landing):
+    from overspend.operators import report as P
+
+    tx, folder = landing
+    base = tempfile.mkdtemp(prefix="overspend-sum-")
+    out = os.path.join(base, "out")
+    run_incremental(spark, folder, TRANSACTION_SCHEMA, out, os.path.join(base, "ckpt"), files_per_batch=14)
+    close_days(spark, out, TRANSACTION_SCHEMA)
+    last = spark.read.parquet(os.path.join(out, "days")).agg({"batch_id": "max"}).first()[0]
+    stored = spark.read.parquet(os.path.join(out, "summary", f"batch_id={-1 - last}"))
+    assert _summary(stored) == _summary(P.executive_summary(tx, score_flags(all_flags(tx))))
+
+
+def test_csv_landing_rejects_bad_lines(spark, make_tx):
+    names = [f.name for f in TRANSACTION_SCHEMA.fields]
+    base = tempfile.mkdtemp(prefix="overspend-csv-")
+    folder = os.path.join(base, "landing")
+    os.mkdir(folder)
+    days = _repeating_days()
+    for k, rows in enumerate(days):
+        lines = [",".join(names)] + [",".join("" if r[n] is None else str(r[n]) for n in names) for r in rows]
+        if k == 1:
+            lines.insert(2, lines[1].replace("2023-05-02", "02.05.23", 1).replace(str(rows[0]["expected_delivery_date"]), "soon", 1))
+            lines.append("X,2023-05-02,short")
+        if k == 2:
+            lines.append(lines[1].replace("700.0", "seven", 1).replace("C", "H", 1))  # a bad number is no reject
+        path = os.path.join(folder, f"day-{k}.csv")
+        with open(path, "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    out = os.path.join(base, "out")
+    run_incremental(spark, folder, TRANSACTION_SCHEMA, out, os.path.join(base, "ckpt"), files_per_batch=1, fmt="csv")
+    good = make_tx([r for rows in days for r in rows] + [_row("H", 2, supplier_id="s8", invoice_amount=None)])
+    assert _pairs(spark.read.parquet(os.path.join(out, "flags"))) == _pairs(all_flags(good))
+    rejects = spark.read.parquet(os.path.join(out, "rejects")).collect()
+    assert sorted((str(r["column"]), r["reason"]) for r in rejects) == [
+        ("None", "not as many values as columns"), ("date", "unparseable date: 02.05.23"), ("expected_delivery_date", "unparseable date: soon"),
+    ]
+    assert {r["line"] for r in rejects if r["column"] is None} == {"X,2023-05-02,short"} and all("02.05.23" in r["line"] for r in rejects if r["column"])
+    from overspend.sources.transactions import read_transactions
+
+    with pytest.raises(Exception, match="unparseable date"):  # the batch reader stays strict
+        read_transactions(spark, os.path.join(folder, "day-1.csv")).select("date", "expected_delivery_date").collect()
+    with pytest.raises(ValueError):
+        run_incremental(spark, folder, TRANSACTION_SCHEMA, out, "c", fmt="json")
