@@ -231,18 +231,19 @@ def _build(lines: DataFrame, min_docs: int, min_chars: int) -> LineIndex:
 
 
 def _without(docs: DataFrame, drops: DataFrame) -> DataFrame:
-    digest, drop = free_name(docs, "digest"), free_name(docs, "drop")
-    d = drops.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("drop").alias("__drop"))
+    names = ("digest", "drop", "dropped", "__id", "__digest", "__n_lines", "__n_dropped")
+    digest, drop, gone, of, with_digest, n_lines, n_dropped = (free_name(docs, x) for x in names)
+    d = drops.select(F.col("doc_id").alias(of), F.col("digest").alias(with_digest), F.col("drop").alias(gone))
     keyed = docs.withColumn(digest, F.xxhash64("text"))
-    joined = keyed.join(d, (F.col("__id") == keyed["doc_id"]) & (F.col("__digest") == keyed[digest]), "left")
+    joined = keyed.join(d, (F.col(of) == keyed["doc_id"]) & (F.col(with_digest) == keyed[digest]), "left")
     lines = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     return (
-        joined.withColumn(drop, F.coalesce(F.size("__drop"), F.lit(0)))
-        .withColumn("__n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
-        .withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
-        .select(*docs.columns, "__n_lines", F.col(drop).cast("long").alias("__n_dropped"))
+        joined.withColumn(drop, F.coalesce(F.size(gone), F.lit(0)))
+        .withColumn(n_lines, F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+        .withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept))
+        .select(*docs.columns, n_lines, F.col(drop).cast("long").alias(n_dropped))
     )
 
 
@@ -255,7 +256,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
     the largest doc_id. A null text stays null and counts as one empty line.
     Rows with a null doc_id hold no line and lose none. Equal rows are treated
     alike; rows of one doc_id with different texts count as one document.
-    Extra columns stay as they are. An empty table gives an empty result.
+    Extra columns stay as they are; where one is named ``__n_lines`` or
+    ``__n_dropped``, the count gets one more leading underscore. An empty
+    table gives an empty result.
     """
     lines = saved(_lines(docs, min_chars), "lines")
     return _without(docs, _build(lines, min_docs, min_chars)._drops(lines))

@@ -365,3 +365,11 @@ def test_common_items_of_sets():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 9000, n, dtype=np.uint64)) for n in (1, 40, 5000, 6000, 6001)]
     assert near_dedup.shared_counts(sets).tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+
+
+def test_line_dedup_keeps_columns_with_clashing_names(spark):
+    text = "a line that several documents hold\nown"
+    docs = spark.createDataFrame([(k, text, 77, "x", "y", 5) for k in range(3)], "doc_id long, text string, __n_lines int, __drop string, __id string, __digest long")
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == [*docs.columns, "___n_lines", "__n_dropped"]
+    assert sorted(tuple(r)[:1] + tuple(r)[2:] for r in got.collect()) == [(k, 77, "x", "y", 5, 2, int(k < 2)) for k in range(3)]
