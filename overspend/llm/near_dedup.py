@@ -40,6 +40,8 @@ _ADD = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 #: Least share of pairs at the least similarity that trees below the first depth may lose.
 MISS = 1e-6
+#: Texts whose sets a task holds at a time.
+SLICE_ROWS = 500
 #: Members of a block of a crowd, and shingles of its sets.
 CROWD_BLOCK = 1024
 CROWD_ITEMS = 500_000
@@ -51,6 +53,7 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 class Settings:
     """words: shingle length; percent: least similarity; trees: repetitions at the first depth, and the fewest at others;
     depths: levels of the trees after which nodes are compared; small: most members outside a node's largest component that are compared with all others;
+    pairs: most pairs that this makes in a node, larger nodes go to the deeper trees;
     estimate: least share of equal coordinates of a candidate (of 64; a pair at 75 % misses 45 % once in 10 million)."""
 
     words: int = 5
@@ -58,6 +61,7 @@ class Settings:
     trees: int = 20
     depths: tuple[int, ...] = (4, 9)
     small: int = 12
+    pairs: int = 768
     estimate: float = 0.45
 
 
@@ -126,12 +130,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
         names = ["doc_id", "digest", "n_shingles", "d1", "d2", "sig"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            rows = []
-            for doc_id, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                s = shingles(text.as_py(), words)
-                rows.append((doc_id, digest, len(s), *digests(s), signature(s).tobytes() if len(s) else None))
-            columns = zip(*rows, strict=True) if rows else [[]] * 6
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+            for low in range(0, batch.num_rows, 4 * SLICE_ROWS):
+                part, rows = batch.slice(low, 4 * SLICE_ROWS), []
+                for doc_id, digest, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                    s = shingles(text.as_py(), words)
+                    rows.append((doc_id, digest, len(s), *digests(s), signature(s).tobytes() if len(s) else None))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), F.col("text").cast("string")).mapInArrow(
         sketch, "doc_id long, digest long, n_shingles long, d1 long, d2 long, sig binary"
@@ -187,7 +191,7 @@ def own_nodes(sets: DataFrame, trees: int, depth: int) -> DataFrame:
         for batch in batches:
             rep = batch.column(0).to_numpy(zero_copy_only=False)
             for k in range(0, len(rep), 500):
-                items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(1)[k : k + 500]]
+                items = [x.values.to_numpy().view(np.uint64) for x in batch.column(1)[k : k + 500]]
                 for tree in range(trees):
                     sig = np.stack([signature(x, *hashes[tree]) for x in items])
                     row, node = paths(sig, tree, depth)
@@ -224,33 +228,27 @@ def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, s: Settings) -> Data
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [shingles(t.as_py(), s.words) for t in batch.column(1)]
-            d1, d2 = ([digests(x)[k] for x in items] for k in (0, 1))
-            columns = [batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.tobytes() for x in items], pa.binary())]
-            yield pa.record_batch(columns, ["doc_id", "d1", "d2", "items"])
+            for low in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(low, SLICE_ROWS)
+                items = [shingles(t.as_py(), s.words) for t in part.column(1)]
+                both = [digests(x) for x in items]
+                d1, d2 = (pa.array([x[k] for x in both], pa.int64()) for k in (0, 1))
+                yield pa.record_batch([part.column(0), d1, d2, pa.array([x.view(np.int64) for x in items], pa.list_(pa.int64()))], ["doc_id", "d1", "d2", "items"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ends, "doc_id", "left_semi")
-    full = texts.mapInArrow(sets, "doc_id long, d1 long, d2 long, items binary").join(small(wanted), ["doc_id", "d1", "d2"])
+    full = texts.mapInArrow(sets, "doc_id long, d1 long, d2 long, items array<long>").join(small(wanted), ["doc_id", "d1", "d2"])
     return saved(full.groupBy("rep").agg(F.max("items").alias("items")), "sets")  # of rows that are repeated
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """(a, b, linked): the exact answer for each pair, from full sets."""
 
-    @F.pandas_udf("boolean")
-    def enough(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            out.append(100 * both >= s.percent * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
-
     full = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")), reps, s)
+    both = F.size(F.array_intersect("items_a", "items_b"))
     return (
         pairs.join(full.select(F.col("rep").alias("a"), F.col("items").alias("items_a")), "a")
         .join(full.select(F.col("rep").alias("b"), F.col("items").alias("items_b")), "b")
-        .select("a", "b", enough("items_a", "items_b").alias("linked"))
+        .select("a", "b", (100 * both >= s.percent * (F.size("items_a") + F.size("items_b") - both)).alias("linked"))
     )
 
 
@@ -285,7 +283,7 @@ def _links_of_crowds(crowded: DataFrame, sets: DataFrame, s: Settings) -> DataFr
     members = saved(crowds.withColumnRenamed("id", "rep").withColumnRenamed("component", "crowd").join(crowded.select("rep", "c").distinct(), "rep"), "crowds")
     main = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("crowd").agg(F.max_by("c", F.struct("n", "c")).alias("main"))
     dealt = members.join(small(saved(main, "crowd-mains")), "crowd").withColumn("rest", F.col("c") != F.col("main")).join(sets, "rep")
-    weight = F.greatest(F.count(F.lit(1)) / CROWD_BLOCK, F.sum(F.length("items") / 8) / CROWD_ITEMS)
+    weight = F.greatest(F.count(F.lit(1)) / CROWD_BLOCK, F.sum(F.size("items")) / CROWD_ITEMS)
     parts = dealt.groupBy("crowd", "rest").agg(F.ceil(weight).cast("int").alias("blocks"))
     blocks = parts.groupBy("crowd").agg(
         F.coalesce(F.max(F.when(F.col("rest"), F.col("blocks"))), F.lit(0)).alias("n_rest"),
@@ -302,8 +300,8 @@ def _links_of_crowds(crowded: DataFrame, sets: DataFrame, s: Settings) -> DataFr
     )
 
     def compare(f: pd.DataFrame) -> pd.DataFrame:
-        rep, n = f["rep"].to_numpy(), f["items"].map(len).to_numpy() // 8
-        both = shared_counts([np.frombuffer(x, dtype=np.uint64) for x in f["items"]])
+        rep, n = f["rep"].to_numpy(), f["items"].map(len).to_numpy()
+        both = shared_counts([np.asarray(x, dtype=np.int64) for x in f["items"]])
         near = 100 * both >= s.percent * (n[:, None] + n[None, :] - both)
         seen, edges = np.zeros(len(rep), dtype=bool), []
         for start in range(len(rep)):
@@ -354,23 +352,25 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 
-        # the likeliest candidate of each document goes first, of those that are smallest in its nodes
+        # of the smallest members of its nodes, each document first meets the one it shares the most nodes with,
+        # so large groups are connected before anything is compared widely
         if larger is None:
-            stars = level.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-            stars = _similar(stars, reps, s)
-            test(stars.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
+            shared = level.where("rep <> first").groupBy("rep", "first").agg(F.count(F.lit(1)).alias("n"))
+            best = shared.groupBy("rep").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
+            test(_similar(best.select(F.col("first").alias("a"), F.col("rep").alias("b")), reps, s))
 
         apart = with_component(with_component(level, "rep"), "first").select("node", "rep", "first", F.col("c_rep").alias("c"), F.col("c_first").alias("c_of_first"))
         parts = apart.groupBy("node", "c").agg(F.count(F.lit(1)).alias("n"))
         # the members outside the largest component of their node; none: the node is done
-        rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
+        rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest"), F.sum("n").alias("members")).where("rest > 0")
         apart = saved(apart.join(rest, "node"), "apart")
-        few = apart.where(F.col("rest") <= s.small)
-        # each of the rest against all members of other components: at most ``small`` partners for a member
+        light = (F.col("rest") <= s.small) & (F.col("rest") * F.col("members") <= s.pairs)
+        few = apart.where(light)
+        # each of the rest against all members of other components
         other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
         met = few.where("c <> main").join(other, "node").where(F.col("c") != F.col("c_b"))
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
-        crowded = apart.where(F.col("rest") > s.small)
+        crowded = apart.where(~light)
         many = crowded.where(F.col("c") != F.col("c_of_first"))
         pairs = pairs.unionByName(many.select(F.col("first").alias("a"), F.col("rep").alias("b")))
         test(_similar(pairs.distinct(), reps, s))
