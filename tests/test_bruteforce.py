@@ -108,3 +108,13 @@ def test_the_same_row_twice(make_tx):
         tx = make_tx(rows)
         assert R.detect_duplicates(tx).count() == R.detect_duplicates_pairwise(tx).count() == rule_rows
         assert D.all_flags(tx).filter("rule_triggered = 'duplicate'").count() == kept
+
+
+@pytest.mark.parametrize("window_days", [30, 365])
+def test_wide_windows_equal_brute_force(make_tx, window_days):
+    """Two bins per row give the same as every pair of days, and as the window form."""
+    rnd = random.Random(window_days)
+    rows = [dict(r, date=dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(3000)), invoice_amount=rnd.choice([100.4, 250.0])) for r in random_rows(7, 90)]
+    want, tx = brute_force(rows, window_days), make_tx(rows)
+    assert 0 < len(want) < len(rows)
+    assert ids(R.detect_duplicates_pairwise(tx, window_days)) == want == ids(R.detect_duplicates(tx, window_days))

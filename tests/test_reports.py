@@ -90,3 +90,36 @@ def test_alert_gate_closed_without_findings(spark, scored):
     # gate on High instead: lists High findings
     digest = P.alert_digest(P.executive_summary(tx, low), low, ReportParams(alert_severity="High")).first()
     assert digest["alert_severity"] == "High" and digest["top_findings"].count("•") == min(3, digest["alert_count"])
+
+
+def test_breakdowns_are_the_single_tables(make_tx):
+    """One evaluation gives what the tables by rule, severity, category and their pairs give."""
+    from rule_rows import base_row
+
+    from overspend.operators.detect import all_flags, leakage_by_rule
+
+    rows = [base_row(transaction_id=f"t{k}", category=None if k % 5 == 0 else f"c{k % 3}", invoice_amount=80.0 + 17 * (k % 4), supplier_id=f"s{k}",
+                     actual_delivery_date=dt.date(2031, 3, 3) + dt.timedelta(days=k % 2)) for k in range(30)]
+    scored = score_flags(all_flags(make_tx(rows)))
+    got = {}
+    for r in P.breakdowns(scored).collect():
+        got.setdefault(r["breakdown"], {})[(r["category"], r["rule_triggered"], r["severity"])] = r
+    assert {k[1]: (v["with_amount"], v["leakage_gbp"]) for k, v in got["rule"].items()} == {r[0]: (r[1], r[2]) for r in leakage_by_rule(scored).collect()}
+    assert {k[0]: v["leakage_gbp"] for k, v in got["category"].items()} == {r["category"]: r["leakage_gbp"] for r in P.leakage_by_category(scored).collect()}
+    assert {(k[0], k[1]): v["leakage_gbp"] for k, v in got["category_rule"].items()} == {
+        (r["category"], r["rule_triggered"]): r["leakage_gbp"] for r in P.category_rule_leakage(scored).collect()}
+    assert sum(v["flags"] for v in got["severity"].values()) == sum(v["flags"] for v in got["rule_severity"].values()) == scored.count()
+    assert all(v["critical"] + v["high"] + v["medium"] + v["low"] == v["flags"] for v in got["rule"].values())
+    assert P.breakdowns(scored.limit(0)).collect() == []
+
+
+def test_monthly_totals_of_months_without_findings(make_tx):
+    from rule_rows import base_row
+
+    from overspend.operators.detect import all_flags
+
+    tx = make_tx([base_row(transaction_id="a", date=dt.date(2031, 1, 9), invoice_amount=100.0), base_row(transaction_id="b", date=dt.date(2031, 3, 2), supplier_id="s")])
+    got = {(r["month"].month, r["rule_triggered"]): (r["flags"], r["leakage_gbp"]) for r in P.monthly_totals(tx, all_flags(tx)).collect()}
+    assert len(got) == 12 and got[(1, "price_variance")] == (1, Decimal("8.00"))
+    assert {v for k, v in got.items() if k != (1, "price_variance")} == {(0, Decimal("0.00"))}
+    assert P.monthly_totals(tx.limit(0), all_flags(tx).limit(0)).collect() == []
