@@ -6,12 +6,12 @@ or two coordinates of a minwise signature are selected by a hash of the node,
 and each of their values is a child. Pairs above the similarity survive each
 level with an expected count of at least one, others die out.
 
-Nodes are then compared: every member with the smallest one, and, where few
-members are left outside the largest component, these with all others. The
-members of nodes with many such members get deeper trees, each with a signature
-of its own and as many trees as the depth needs. What is crowded at the last
-depth is compared whole, on full sets, in blocks. Every link is confirmed on
-full sets.
+Each document first meets the smallest member it shares most nodes with. Nodes
+with few members outside their largest component are then compared, these
+members with all others. The members of other nodes get deeper trees, each with
+a signature of its own and as many trees as the depth needs. What is crowded at
+the last depth is compared whole, on full sets, in blocks; pairs that this, or
+deeper trees, will compare are left to it. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -272,15 +272,19 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_of_crowds(crowded: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """(a, b) that connect what is linked among members of crowded nodes (node, rep, first, c).
+def _crowds(crowded: DataFrame) -> DataFrame:
+    """(rep, crowd): nodes (node, rep, first) that share members are one crowd."""
+    found = connected_components(crowded.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    return found.select(F.col("id").alias("rep"), F.col("component").alias("crowd"))
 
-    Nodes that share members are one crowd. Each member outside the largest
-    component of its crowd meets all others, block by block; a pair of blocks
-    gives the edges of a spanning forest.
+
+def _links_of_crowds(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) that connect what is linked among the ``members`` (rep, crowd, c) of crowds.
+
+    Each member outside the largest component of its crowd meets all others,
+    block by block; a pair of blocks gives the edges of a spanning forest.
     """
-    crowds = connected_components(crowded.select(F.col("first").alias("a"), F.col("rep").alias("b")))
-    members = saved(crowds.withColumnRenamed("id", "rep").withColumnRenamed("component", "crowd").join(crowded.select("rep", "c").distinct(), "rep"), "crowds")
+    members = saved(members, "crowds")
     main = members.groupBy("crowd", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("crowd").agg(F.max_by("c", F.struct("n", "c")).alias("main"))
     dealt = members.join(small(saved(main, "crowd-mains")), "crowd").withColumn("rest", F.col("c") != F.col("main")).join(sets, "rep")
     weight = F.greatest(F.count(F.lit(1)) / CROWD_BLOCK, F.sum(F.size("items")) / CROWD_ITEMS)
@@ -348,7 +352,8 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
             level = nodes(reps, s.trees, depth)
         else:  # fresh trees: what met in a crowded node meets again but for MISS
             sets = sets or _sets(docs, larger, reps, s)
-            level = own_nodes(sets.join(larger, "rep", "left_semi"), trees_at(s, depth), depth).distinct()
+            tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # long work on few rows: not merged by their bytes
+            level = own_nodes(sets.join(small(larger), "rep", "left_semi").repartition(tasks, "rep"), trees_at(s, depth), depth).distinct()
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 
@@ -365,22 +370,25 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         rest = parts.groupBy("node").agg(F.max(F.struct("n", "c"))["c"].alias("main"), (F.sum("n") - F.max("n")).alias("rest"), F.sum("n").alias("members")).where("rest > 0")
         apart = saved(apart.join(rest, "node"), "apart")
         light = (F.col("rest") <= s.small) & (F.col("rest") * F.col("members") <= s.pairs)
-        few = apart.where(light)
-        # each of the rest against all members of other components
-        other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"))
-        met = few.where("c <> main").join(other, "node").where(F.col("c") != F.col("c_b"))
-        pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
         crowded = apart.where(~light)
-        many = crowded.where(F.col("c") != F.col("c_of_first"))
-        pairs = pairs.unionByName(many.select(F.col("first").alias("a"), F.col("rep").alias("b")))
-        test(_similar(pairs.distinct(), reps, s))
         larger = saved(crowded.select("rep").distinct(), "larger")
+        crowds, last = None, depth == s.depths[-1]
+        if last and not larger.isEmpty():
+            crowds = saved(_crowds(crowded), "crowd-ids")
+        # each of the rest against all members of other components, but for pairs that a crowd compares anyway:
+        # those of two members that both get deeper trees, or, at the last depth, are of one crowd
+        few = apart.where(light).join(small(larger.withColumn("crowd", F.lit(0)) if crowds is None else crowds), "rep", "left")
+        other = few.select("node", F.col("rep").alias("b"), F.col("c").alias("c_b"), F.col("crowd").alias("crowd_b"))
+        apart_yet = (F.col("m.c") != F.col("o.c_b")) & (F.col("m.crowd").isNull() | F.col("o.crowd_b").isNull() | (F.col("m.crowd") != F.col("o.crowd_b")))
+        met = few.where("c <> main").alias("m").join(other.alias("o"), (F.col("m.node") == F.col("o.node")) & apart_yet)
+        pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+        test(_similar(pairs, reps, s))
         if larger.isEmpty():
             return components
 
-    # nothing is left out at the last depth: nodes of any size are compared
-    crowded = with_component(crowded.select("node", "rep", "first"), "rep").withColumnRenamed("c_rep", "c")
-    links = saved(_links_of_crowds(crowded, sets or _sets(docs, larger, reps, s), s).withColumn("linked", F.lit(True)), "crowd-links")
+    # nothing is left out at the last depth: crowds of any size are compared
+    members = with_component(crowds, "rep").withColumnRenamed("c_rep", "c")
+    links = saved(_links_of_crowds(members, sets or _sets(docs, larger, reps, s), s).withColumn("linked", F.lit(True)), "crowd-links")
     if links.isEmpty():
         return components
     return connected_components(links if tested is None else tested.where("linked").unionByName(links))
