@@ -58,7 +58,12 @@ def day_groups(tx: DataFrame) -> DataFrame:
 
     The map-side partial aggregation collapses a hot key before the shuffle.
     """
-    return _keyed(tx).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("transaction_id")).alias("_first"))
+    return day_groups_of(_keyed(tx))
+
+
+def day_groups_of(rows: DataFrame) -> DataFrame:
+    """:func:`day_groups` of rows that have their amount key."""
+    return rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("transaction_id")).alias("_first"))
 
 
 def duplicate_groups(days: DataFrame, window_days: int) -> DataFrame:
@@ -83,8 +88,12 @@ def duplicate_ids(tx: DataFrame, window_days: int) -> DataFrame:
     first row of a group without an earlier day is legitimate, unless its id
     is there again.
     """
-    groups = duplicate_groups(day_groups(tx), window_days)
-    rows = _keyed(tx).select(*KEY, "transaction_id").join(groups, KEY)
+    return duplicate_ids_of(_keyed(tx).select(*KEY, "transaction_id"), window_days)
+
+
+def duplicate_ids_of(keyed: DataFrame, window_days: int) -> DataFrame:
+    """:func:`duplicate_ids` of rows (key, transaction_id) that have their amount key."""
+    rows = keyed.join(duplicate_groups(day_groups_of(keyed), window_days), KEY)
     later = F.col("_first_hit") | ~F.col("_first.transaction_id").eqNullSafe(F.col("transaction_id"))
     ids = rows.groupBy(*KEY, "transaction_id").agg(F.count(F.lit(1)).alias("_c"), F.max(later).alias("_later"))
     return ids.filter(F.col("_later") | (F.col("_c") > 1)).select(F.col("transaction_id").alias("_flagged_id")).distinct()
