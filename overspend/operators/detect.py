@@ -194,16 +194,25 @@ def leakage_by_rule(flags: DataFrame) -> DataFrame:
     )
 
 
-def rule_run_stats(flags: DataFrame) -> DataFrame:
-    """Per-rule run statistics: duplicate hits, price leakage, worst SLA breach,
-    distinct spike days (one row)."""
+def run_stats(spike_days: Column) -> list[Column]:
+    """Aggregates of :func:`rule_run_stats`, with the count of distinct spike days that is given."""
     rule = F.col("rule_triggered")
-    return flags.agg(
+    return [
         F.count(F.when(rule == RULE_DUPLICATE, F.lit(1))).alias("duplicate_flags"),
         F.count(F.when(rule == RULE_PRICE, F.lit(1))).alias("price_flags"),
         money_total(F.when(rule == RULE_PRICE, F.col("leakage_amount_gbp"))).alias("price_leakage_gbp"),
         F.count(F.when(rule == RULE_SLA, F.lit(1))).alias("sla_flags"),
         F.coalesce(F.max(F.when(rule == RULE_SLA, F.col("breach_days"))), F.lit(0)).alias("sla_max_breach_days"),
         F.count(F.when(rule == RULE_SPIKE, F.lit(1))).alias("spike_flags"),
-        F.countDistinct(F.when(rule == RULE_SPIKE, F.col("date"))).alias("spike_days"),
-    )
+        spike_days.alias("spike_days"),
+    ]
+
+
+def spike_date() -> Column:
+    return F.when(F.col("rule_triggered") == RULE_SPIKE, F.col("date"))
+
+
+def rule_run_stats(flags: DataFrame) -> DataFrame:
+    """Per-rule run statistics: duplicate hits, price leakage, worst SLA breach,
+    distinct spike days (one row)."""
+    return flags.agg(*run_stats(F.countDistinct(spike_date())))

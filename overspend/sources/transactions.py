@@ -129,13 +129,18 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) ->
     return coerce_transactions(spread(raw))
 
 
-def load_profile(tx: DataFrame) -> DataFrame:
-    """Row count and date range of a transaction table (one row)."""
-    return tx.agg(
+def profile_metrics() -> list[Column]:
+    """Aggregates of :func:`load_profile`."""
+    return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.min("date").alias("date_range_start"),
         F.max("date").alias("date_range_end"),
-    )
+    ]
+
+
+def load_profile(tx: DataFrame) -> DataFrame:
+    """Row count and date range of a transaction table (one row)."""
+    return tx.agg(*profile_metrics())
 
 
 def as_strings(df: DataFrame) -> DataFrame:
