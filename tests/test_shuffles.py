@@ -72,3 +72,33 @@ def test_the_pairwise_form_reads_rows_that_recur_only(make_tx):
     plan = R.detect_duplicates_pairwise(make_tx(rows_of(8)), 30)._jdf.queryExecution().optimizedPlan().toString()
     # the rows are read three times and counted before each
     assert plan.count("Filter (_rows") >= 3
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_rows_without_a_finding_are_not_dealt(make_tx, monkeypatch, words):
+    # 8 rows of one supplier and amount are flagged, 300 others are not; with one word of bits most others pass, and the join drops them
+    monkeypatch.setattr(D, "FOLDED_WORDS", words)
+    late = {"actual_delivery_date": MONDAY + dt.timedelta(days=90)}
+    names = [None, None, "", *[f"t{k}" for k in range(5)]]
+    rows = [base_row(transaction_id=names[k], supplier_id="s", invoice_amount=70.0, baseline_rate=70.0) for k in range(8)]
+    rows += [base_row(transaction_id=f"u{k}", supplier_id=f"s{k}", invoice_amount=70.0, baseline_rate=70.0) for k in range(300)]
+    rows += [base_row(transaction_id="v", supplier_id="late", invoice_amount=70.0, baseline_rate=70.0, **late)]
+    tx = make_tx(rows)
+    got = Counter((r["transaction_id"], r["rule_triggered"]) for r in D.all_flags(tx).collect())
+    assert got == Counter((r["transaction_id"], r["rule_triggered"]) for r in D.all_flags_union(tx).collect())
+    assert (None, "duplicate") in {(i, r.lower()) for i, r in got} and ("v" in {i for i, _ in got})
+
+    def by_id(df, name):
+        return df.withColumns({"_known": F.coalesce(F.col(name), F.lit("")), "_unknown": F.col(name).isNull()})
+
+    flagged = by_id(R.duplicate_ids(tx, 30), "_flagged_id").select("_known", "_unknown")
+    met = [r["transaction_id"] for r in D._may_hit(by_id(tx, "transaction_id"), flagged, R.sla_hit(2)).collect()]
+    assert {None, "v", *(n for n in names[3:] if n)} - {"t0"} <= set(met)
+    assert len(met) < 20 if words > 1 else len(met) <= len(rows)
+    assert set(flagged.columns) == {"_known", "_unknown"}
+
+
+def test_the_rows_of_rule_1_are_dealt_alike_for_all_their_uses(make_tx):
+    # the flag table reads them four times; a condition that only one use has would make another shuffle of them
+    plan = D.all_flags(make_tx(rows_of(8)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright" in plan and "isnotnull(shiftright" not in plan and "isnotnull((shiftright" not in plan
