@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 
 import pytest
@@ -11,6 +12,7 @@ from rule_rows import MONDAY, base_row, ids
 
 from overspend.operators import detect as D
 from overspend.operators import rules as R
+from overspend.sources.fixtures import fixture_transactions
 
 
 def rows_of(n: int) -> list[dict]:
@@ -102,3 +104,22 @@ def test_the_rows_of_rule_1_are_dealt_alike_for_all_their_uses(make_tx):
     # the flag table reads them four times; a condition that only one use has would make another shuffle of them
     plan = D.all_flags(make_tx(rows_of(8)))._jdf.queryExecution().optimizedPlan().toString()
     assert "shiftright" in plan and "isnotnull(shiftright" not in plan and "isnotnull((shiftright" not in plan
+
+
+def test_count_and_rows_of_rule_1_need_the_same_columns_of_a_join(spark, tmp_path):
+    # so the shuffle for the join that makes the transactions is one for both
+    tables = {
+        "lineitem": "1L l_orderkey, 2L l_partkey, 3L l_suppkey, 1 l_linenumber, 70d l_extendedprice, 0d l_discount, 0d l_tax, timestamp_ntz'2031-03-03' l_shipdate",
+        "supplier": "3L s_suppkey, 's' s_name, 4 s_nationkey",
+        "part": "2L p_partkey, 'PROMO' p_type",
+        "nation": "4 n_nationkey, 5 n_regionkey",
+        "region": "5 r_regionkey, 'r' r_name",
+    }
+    for name, row in tables.items():
+        one = spark.sql(f"SELECT {row}")
+        (one.union(one) if name == "lineitem" else one).write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = R.recurring(R._keyed(fixture_transactions(spark, str(tmp_path))).select(*R.KEY, "transaction_id"))
+    lines = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [re.sub(r"#\d+L?", "", lines[k + 1]).lstrip(" :+-") for k, line in enumerate(lines) if "Join Inner" in line and "p_partkey" in line]
+    assert len(below) == 2 and len(set(below)) == 1, below
+    assert [r["transaction_id"] for r in kept.collect()] == ["1-1-2-3-20310303"] * 2
