@@ -184,7 +184,7 @@ def nodes(reps: DataFrame, trees: int, depth: int) -> DataFrame:
 
 
 def own_nodes(sets: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(node, rep) of trees that have a signature each, over the full ``sets``."""
+    """(node, rep) of trees that have a signature each, over the full ``sets``; distinct, if each rep has one row."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = [coordinates(depth, tree) for tree in range(trees)]
@@ -195,7 +195,9 @@ def own_nodes(sets: DataFrame, trees: int, depth: int) -> DataFrame:
                 for tree in range(trees):
                     sig = np.stack([signature(x, *hashes[tree]) for x in items])
                     row, node = paths(sig, tree, depth)
-                    yield pa.record_batch([pa.array(c) for c in (node.view(np.int64), rep[k : k + 500][row])], ["node", "rep"])
+                    twice = pd.DataFrame({"row": row, "node": node}).duplicated().to_numpy()  # two branches chose one coordinate
+                    columns = (node[~twice].view(np.int64), rep[k : k + 500][row[~twice]])
+                    yield pa.record_batch([pa.array(c) for c in columns], ["node", "rep"])
 
     return sets.select("rep", "items").mapInArrow(branch, "node long, rep long")
 
@@ -353,7 +355,8 @@ def _join(reps: DataFrame, docs: DataFrame, s: Settings) -> DataFrame | None:
         else:  # fresh trees: what met in a crowded node meets again but for MISS
             sets = sets or _sets(docs, larger, reps, s)
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # long work on few rows: not merged by their bytes
-            level = own_nodes(sets.join(small(larger), "rep", "left_semi").repartition(tasks, "rep"), trees_at(s, depth), depth).distinct()
+            deep = own_nodes(sets.join(small(larger), "rep", "left_semi").repartition(tasks, "rep"), trees_at(s, depth), depth)
+            level = saved(deep, "deep")  # read twice below, branched once
         firsts = level.groupBy("node").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
         level = saved(level.select("node", "rep").join(firsts.select("node", "first"), "node"), "nodes")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from overspend.llm import near_dedup as N
+from overspend.llm.common import importable
 
 DEPTH = 9
 
@@ -28,3 +29,35 @@ def test_rows_of_the_deep_trees_grow_with_the_documents_not_with_pairs(spark):
     assert sum(map(len, large.values())) <= 200 * trees * 2**DEPTH
     per_rep = [sum(map(len, found.values())) / len(found) for found in (small, large)]
     assert per_rep[1] < 1.5 * per_rep[0]
+
+
+def test_deep_trees_are_branched_once_and_name_no_node_twice(spark, monkeypatch):
+    importable(spark)
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(60)]
+    docs = []
+    for k in range(40):  # unlike enough to stay apart at the first depth
+        words = list(base)
+        for at in rng.choice(60, 3, replace=False):
+            words[at] = f"x{k}y{at}"
+        docs.append((k, " ".join(words)))
+    made, distinct, plain = spark.sparkContext.accumulator(0), [], N.own_nodes
+
+    def counting(sets, trees, depth):
+        level = plain(sets, trees, depth)
+        distinct.append((level.count(), level.distinct().count()))
+
+        def count(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        return level.mapInArrow(count, level.schema)
+
+    monkeypatch.setattr(N, "own_nodes", counting)
+    settings = N.Settings(depths=(2, 4), small=1)
+    N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), settings).collect()
+    assert len(distinct) == 1  # the second depth was reached
+    rows, different = distinct[0]
+    assert rows == different > 0
+    assert made.value == rows
