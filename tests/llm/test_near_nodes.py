@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import brute
 import numpy as np
 
 from overspend.llm import near_dedup as N
@@ -61,3 +62,53 @@ def test_deep_trees_are_branched_once_and_name_no_node_twice(spark, monkeypatch)
     rows, different = distinct[0]
     assert rows == different > 0
     assert made.value == rows
+
+
+def family(name: str, members: int, seed: int) -> list[str]:
+    """Texts that share 60 words but for some of their own: some are linked, some are not, none with all."""
+    rng, out = np.random.default_rng(seed), []
+    for k in range(members):
+        words = [f"{name}{at}" for at in range(60)]
+        for at in rng.choice(60, rng.integers(1, 4), replace=False):
+            words[at] = f"{name}{k}y{at}"
+        out.append(" ".join(words))
+    return out
+
+
+def branched(monkeypatch) -> list[set[int]]:
+    """The representatives that each later call of ``own_nodes`` gets."""
+    seen, plain = [], N.own_nodes
+
+    def kept(sets, trees, depth):
+        seen.append({r["rep"] for r in sets.select("rep").collect()})
+        return plain(sets, trees, depth)
+
+    monkeypatch.setattr(N, "own_nodes", kept)
+    return seen
+
+
+def components_of(spark, rows, settings=None) -> dict:
+    importable(spark)
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), settings).collect()
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got}
+
+
+def test_a_crowd_of_few_blocks_is_compared_whole_and_not_branched(spark, monkeypatch):
+    seen, compared, plain = branched(monkeypatch), [], N._links_of_crowds
+    monkeypatch.setattr(N, "_links_of_crowds", lambda members, *rest: compared.append(members.count()) or plain(members, *rest))
+    rows = list(enumerate(family("w", 150, 7)))
+    want = brute.components(rows)
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    assert components_of(spark, rows) == want
+    assert len(compared) == 1 and compared[0] > 12
+    assert not seen
+
+
+def test_larger_crowds_are_branched_beside_those_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(N, "CROWD_BLOCK", 16)
+    seen = branched(monkeypatch)
+    rows = [(k, text) for k, text in enumerate([*family("a", 30, 1), *family("b", 120, 2), *family("c", 28, 3)])]
+    settings = N.Settings(depths=(2, 4), small=1, pairs=40, whole=2)
+    assert components_of(spark, rows, settings) == brute.components(rows)
+    assert len(seen) == 1
+    assert seen[0] and seen[0] <= set(range(30, 150))
